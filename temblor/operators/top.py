@@ -1,0 +1,19 @@
+"""Arg-max per group."""
+
+from __future__ import annotations
+
+from typing import Sequence
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+
+def keep_largest(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Rows holding their group's largest `value`; ties are all kept.
+
+    Written as rank() = 1 and not as max() plus a filter: Spark then drops the losers in each
+    task before the shuffle (WindowGroupLimit), so a hot group sends only its leaders.
+    `value` must not be NULL.
+    """
+    order = Window.partitionBy(*keys).orderBy(F.col(value).desc())
+    return df.withColumn("_rank", F.rank().over(order)).where("_rank = 1").drop("_rank")
