@@ -57,19 +57,13 @@ def proximity_join(
     span = 2 * (seconds + 1)
 
     moment = F.unix_timestamp(date_a)
-    kept = a.columns
-    a = a.select(*kept, _cells_met(lat_a, lon_a, reach, width)).select(
-        *kept,
-        *CELL[:2],
-        F.explode(_one_or_two(_cell(moment - back, span), _cell(moment + ahead, span))).alias(
-            CELL[2]
-        ),
-    )
+    a = _areas_met(a, lat_a, lon_a, reach, width)
+    a = _cells_met(a, "cell_time", moment - back, moment + ahead, span)
     b = b.select(
-        *b.columns,
-        _cell(lat_b, width).alias(CELL[0]),
-        _cell(lon_b, width).alias(CELL[1]),
-        _cell(F.unix_timestamp(date_b), span).alias(CELL[2]),
+        "*",
+        _cell(lat_b, width).alias("cell_lat"),
+        _cell(lon_b, width).alias("cell_lon"),
+        _cell(F.unix_timestamp(date_b), span).alias("cell_time"),
     )
     a, b = tile_hot_keys(a, b, CELL, hot_rows)
     exact = (
@@ -92,8 +86,7 @@ def within_reach(df: DataFrame, of: DataFrame, box: float = 0.1) -> DataFrame:
     width = cell_width(reach)
     lat, lon = F.col("latitude"), F.col("longitude")
     areas = (
-        _located(of)
-        .select(_cells_met(lat, lon, reach, width))
+        _areas_met(_located(of), lat, lon, reach, width)
         .select(_area(F.col("cell_lat"), F.col("cell_lon")).alias("area"))
         .distinct()
     )
@@ -116,31 +109,28 @@ def _located(df: DataFrame) -> DataFrame:
 
 
 def _cell(value: Column, width: float) -> Column:
-    return F.floor(value.cast("double") / F.lit(float(width)))
-
+    """Cell number of a position or second that is known not to be NULL.
 
-def _one_or_two(low: Column, high: Column) -> Column:
-    return F.when(low == high, F.array(low)).otherwise(F.array(low, high))
+    Saying so with coalesce keeps Catalyst from adding IS NOT NULL tests on the join side only,
+    after which the join and the pass that looks for hot cells could no longer share a shuffle.
+    """
+    return F.coalesce(F.floor(value.cast("double") / F.lit(float(width))), F.lit(0))
 
 
-def _reached(value: Column, reach: float, width: float) -> Column:
-    value = value.cast("double")
-    return _one_or_two(_cell(value - reach, width), _cell(value + reach, width))
+def _cells_met(df: DataFrame, name: str, low: Column, high: Column, width: float) -> DataFrame:
+    """One row per cell between `low` and `high`, which are at most one cell width apart."""
+    first, last = _cell(low, width), _cell(high, width)
+    cells = F.when(first == last, F.array(first)).otherwise(F.array(first, last))
+    return df.select("*", F.explode(cells).alias(name))
 
 
-def _cells_met(lat: Column, lon: Column, reach: float, width: float) -> Column:
+def _areas_met(
+    df: DataFrame, lat: Column, lon: Column, reach: float, width: float
+) -> DataFrame:
     """One row per spatial cell that the box around a point meets."""
-    return F.inline(
-        F.flatten(
-            F.transform(
-                _reached(lat, reach, width),
-                lambda y: F.transform(
-                    _reached(lon, reach, width),
-                    lambda x: F.struct(y.alias("cell_lat"), x.alias("cell_lon")),
-                ),
-            )
-        )
-    )
+    lat, lon = lat.cast("double"), lon.cast("double")
+    df = _cells_met(df, "cell_lat", lat - reach, lat + reach, width)
+    return _cells_met(df, "cell_lon", lon - reach, lon + reach, width)
 
 
 def _area(cell_lat: Column, cell_lon: Column) -> Column:

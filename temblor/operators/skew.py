@@ -62,6 +62,6 @@ def _cut(df: DataFrame, hot: DataFrame, keys: list[str], own: str, other: str) -
     )
     return df.join(hot, keys, "left").select(
         *columns,
-        F.pmod(F.xxhash64(*columns), own_strips).alias(f"tile_{own}"),
+        F.coalesce(F.pmod(F.xxhash64(*columns), own_strips), F.lit(0)).alias(f"tile_{own}"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), other_strips - 1)).alias(f"tile_{other}"),
     )
