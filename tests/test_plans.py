@@ -1,0 +1,302 @@
+"""Query semantics on hand-made rows."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from temblor import plans
+from temblor.config import session_conf
+from tests.conftest import plan_text, rows
+
+
+def test_preprocess_trims_spaces_only_and_keeps_blank_states(spark):
+    raw = spark.createDataFrame(
+        [(" texas ", "eq", 1.0), ("   ", "eq", 2.0), ("\tx ", "eq", 3.0), (None, "eq", 4.0)],
+        "state STRING, data_type STRING, magnitudo FLOAT",
+    )
+    clean = plans.preprocess_quakes(raw)
+    assert clean.columns == ["state", "magnitude"]
+    assert rows(clean) == [("", 2.0), ("\tX", 3.0), ("TEXAS", 1.0), (None, 4.0)]
+
+
+def test_tsunami_rows_by_significance(quakes):
+    df = quakes(
+        dict(tsunami=1.0, significance=5),
+        dict(tsunami=2.0, significance=9),
+        dict(tsunami=0.0, significance=99),
+        dict(tsunami=None, significance=98),
+        dict(tsunami=1.0, significance=None),
+    )
+    result = plans.tsunami_by_significance(df)
+    assert result.columns == df.columns
+    assert [r["significance"] for r in result.collect()] == [9, 5, None]
+
+
+def test_a_hot_significance_is_sorted_in_several_tasks(spark):
+    df = spark.range(20_000).select(
+        F.lit(1.0).alias("tsunami"), F.lit(7).alias("significance"), "id"
+    )
+    with session_conf(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        sizes = plans.tsunami_by_significance(df).rdd.glom().map(len).collect()
+    assert sum(sizes) == 20_000
+    assert max(sizes) < 10_000
+
+
+def test_average_magnitude_ignores_null(quakes):
+    df = quakes(dict(magnitude=2.0), dict(magnitude=4.0), dict(magnitude=None))
+    assert rows(plans.average_magnitude(df)) == [(3.0,)]
+
+
+def test_state_frequency_counts_midnights_and_gives_null_for_one_day(quakes):
+    df = quakes(
+        dict(state="A", magnitude=1.0, date="2020-01-01 23:59:00"),
+        dict(state="A", magnitude=3.0, date="2020-01-03 00:01:00"),
+        dict(state="B", date="2020-01-01 00:00:00"),
+        dict(state="B", date="2020-01-01 23:00:00"),
+        dict(state="", date="2020-01-01 00:00:00"),
+        dict(state=None, date="2020-01-01 00:00:00"),
+    )
+    assert plans.state_frequency(df).collect() == [
+        ("A", 2, 1.0, 2.0),
+        ("B", 2, None, None),
+        ("", 1, None, None),
+    ]
+    assert [r[0] for r in plans.state_frequency(df, k=1).collect()] == ["A"]
+
+
+def test_depth_running_is_cumulative_with_peers_and_null_first(quakes):
+    df = quakes(
+        *(dict(state="A", depth=d) for d in (10.0, 10.0, 20.6, None)),
+        dict(state=None, depth=1.0),
+    )
+    result = plans.depth_running(df).select(
+        "state", "total_occurrences", F.round("average_depth", 3), "min_depth", "max_depth"
+    )
+    assert rows(result) == [
+        ("A", 1, None, None, None),
+        ("A", 3, 10.0, 10.0, 10.0),
+        ("A", 4, 13.533, 10.0, 21.0),
+        (None, 1, 1.0, 1.0, 1.0),
+    ]
+
+
+def test_depth_per_state(quakes):
+    df = quakes(*(dict(state="A", depth=d) for d in (10.0, 20.5, None)), dict(depth=2.0))
+    assert rows(plans.depth_per_state(df)) == [
+        ("A", 3, 15.25, 10.0, 21.0),
+        (None, 1, 2.0, 2.0, 2.0),
+    ]
+
+
+def test_ratio_counts_a_null_magnitude_as_not_above(quakes):
+    df = quakes(
+        dict(state="A", magnitude=3.0), dict(state="A", magnitude=3.5), dict(state="A"), dict()
+    )
+    assert rows(plans.ratio_gt3_per_state(df)) == [("A", 3, 1, 1 / 3), (None, 1, 0, 0.0)]
+
+
+def test_yearly_share_wants_a_flag_of_exactly_one(quakes):
+    df = quakes(
+        dict(date="2020-05-01 00:00:00", tsunami=1.0),
+        dict(date="2020-06-01 00:00:00", tsunami=2.0),
+        dict(date="2021-06-01 00:00:00"),
+        dict(tsunami=1.0),
+    )
+    assert rows(plans.yearly_tsunami_share(df)) == [
+        (2020, 2, 1, 50.0),
+        (2021, 1, 0, 0.0),
+        (None, 1, 1, 100.0),
+    ]
+
+
+def test_hemisphere_of_null_latitude_is_south(quakes):
+    df = quakes(
+        dict(date="2020-01-05 00:00:00", latitude=0.0, magnitude=6.5),
+        dict(date="2021-01-05 00:00:00", latitude=10.0, magnitude=5.5),
+        dict(date="2020-01-05 00:00:00", latitude=None, magnitude=None),
+        dict(date=None, latitude=-1.0, magnitude=7.0),
+    )
+    assert rows(plans.hemisphere_monthly(df)) == [
+        (1, "North", 6.0, 6.5, 1),
+        (1, "South", None, None, 0),
+        (None, "South", 7.0, 7.0, 1),
+    ]
+
+
+def test_equator_band_is_inclusive_and_divides_by_twelve(quakes):
+    df = quakes(
+        *(dict(state="A", latitude=x, date="2020-01-01 00:00:00") for x in (-5.0, 5.0, 5.001)),
+        dict(state="A", latitude=0.0, date="2020-02-01 00:00:00"),
+        dict(state=None, latitude=0.0),
+        dict(state="B", latitude=None),
+    )
+    assert rows(plans.equator_monthly_average(df)) == [("A", 3, 0.25), (None, 1, 1 / 12)]
+
+
+def test_events_on_day_is_half_open(quakes):
+    df = quakes(
+        dict(depth=1.0, date="2000-08-01 23:59:59.999"),
+        dict(depth=2.0, date="2000-08-02 00:00:00"),
+        dict(depth=3.0, date="2000-08-02 23:59:59.999"),
+        dict(depth=4.0, date="2000-08-03 00:00:00"),
+        dict(depth=5.0),
+    )
+    assert rows(plans.events_on_day(df).select("depth")) == [(2.0,), (3.0,)]
+
+
+def _near(minute: str, place: str, magnitude: float = 1.0, **more) -> dict:
+    position = dict(latitude=10.0, longitude=10.0)
+    return dict(position | dict(date=minute, place=place, magnitude=magnitude) | more)
+
+
+def test_event_pairs_across_the_edges_of_the_month(quakes):
+    df = quakes(
+        _near("2018-12-31 23:50:00", "before"),
+        _near("2019-01-01 00:00:00", "first"),
+        _near("2019-01-31 23:59:00", "last"),
+        _near("2019-02-01 00:10:00", "after"),
+        _near("2019-02-01 00:12:00", "outside"),
+        _near("2019-02-01 00:20:00", "later outside"),
+    )
+    places = rows(plans.event_pairs(df).select("place1", "place2"))
+    assert places == [("before", "first"), ("last", "after"), ("last", "outside")]
+
+
+def test_event_pairs_need_different_moments_but_allow_the_same_second(quakes):
+    df = quakes(
+        _near("2019-01-05 00:00:00.1", "a", 1.0),
+        _near("2019-01-05 00:00:00.1", "a2", 1.5),
+        _near("2019-01-05 00:00:00.9", "b", 2.0),
+        _near("2019-01-05 00:15:00.99", "c", 3.0),
+        _near("2019-01-05 00:15:01", "d", 4.0),
+    )
+    places = rows(plans.event_pairs(df).select("place1", "place2", "magnitude1", "magnitude2"))
+    # 00:15:00.99 counts as exactly 900 whole seconds after 00:00:00.
+    assert places == [
+        ("a", "b", 1.0, 2.0),
+        ("a", "c", 1.0, 3.0),
+        ("a2", "b", 1.5, 2.0),
+        ("a2", "c", 1.5, 3.0),
+        ("b", "c", 2.0, 3.0),
+        ("c", "d", 3.0, 4.0),
+    ]
+
+
+def test_event_pairs_merge_copies(quakes):
+    df = quakes(
+        *[_near("2019-01-05 00:00:00", "a")] * 40, *[_near("2019-01-05 00:01:00", "b")] * 40
+    )
+    assert plans.event_pairs(df).count() == 1
+
+
+def test_the_float_difference_decides_at_the_edge_of_the_box(quakes):
+    # In float, 10.1 - 10.0 is just above 0.1 and 35.1 - 35.0 is just below.
+    df = quakes(
+        _near("2019-01-05 00:00:00", "a", latitude=10.0),
+        _near("2019-01-05 00:01:00", "b", latitude=10.1),
+        _near("2019-01-06 00:00:00", "c", latitude=35.0),
+        _near("2019-01-06 00:01:00", "d", latitude=35.1),
+    )
+    assert rows(plans.event_pairs(df).select("place1", "place2")) == [("c", "d")]
+
+
+def test_largest_aftershock_keeps_ties_and_ignores_the_same_second(quakes):
+    df = quakes(
+        _near("2019-01-05 00:00:00", "main", 8.0),
+        _near("2019-01-05 00:00:00.5", "same second", 7.9),
+        _near("2019-01-05 01:00:00", "x", 7.0),
+        _near("2019-01-05 05:00:00.9", "y", 7.0),
+        _near("2019-01-05 05:00:01", "too late", 7.5),
+        _near("2019-01-05 02:00:00", "weaker", 6.0),
+        _near("2019-01-05 02:00:00", "unknown", None),
+        _near("2019-01-05 02:00:00", "far", 7.5, latitude=11.0),
+        _near("2019-01-04 23:00:00", "earlier", 7.8),
+        _near("2019-01-05 00:30:00", "another main", 9.0),
+    )
+    result = plans.largest_aftershock(df)
+    assert result.columns == [
+        "place_main",
+        "place_aftershock",
+        "date_main",
+        "date_aftershock",
+        "main_magnitude",
+        "aftershock_magnitude",
+    ]
+    found = rows(result.select("place_main", "place_aftershock", "aftershock_magnitude"))
+    assert found == [
+        ("another main", "too late", 7.5),
+        ("main", "x", 7.0),
+        ("main", "y", 7.0),
+    ]
+
+
+def test_foreshocks_all_and_largest(quakes):
+    df = quakes(
+        _near("2019-01-05 05:00:00", "main", 8.0),
+        _near("2019-01-05 00:00:00", "edge", 5.0),
+        _near("2019-01-04 23:59:59", "too early", 7.0),
+        _near("2019-01-05 04:00:00", "x", 6.0),
+        _near("2019-01-05 06:00:00", "after", 7.0),
+    )
+    every = rows(plans.foreshock_pairs(df).select("place_main", "place_foreshock"))
+    assert every == [("main", "edge"), ("main", "x")]
+    assert rows(plans.largest_foreshock(df).select("place_main", "place_foreshock")) == [
+        ("main", "x")
+    ]
+
+
+def test_main_events_of_one_date_magnitude_and_place_share_their_largest(quakes):
+    df = quakes(
+        _near("2019-01-05 00:00:00", "main", 8.0),
+        _near("2019-01-05 00:00:00", "main", 8.0, latitude=20.0),
+        _near("2019-01-05 01:00:00", "x", 7.0),
+        _near("2019-01-05 01:00:00", "y", 6.0, latitude=20.0),
+    )
+    assert rows(plans.largest_aftershock(df).select("place_aftershock")) == [("x",)]
+
+
+@pytest.mark.parametrize("zone_free", [False, True])
+def test_period_limits_reach_the_scan(spark, quakes, folder, zone_free):
+    df = quakes(_near("2019-01-05 00:00:00", "a"), _near("2019-03-05 00:00:00", "b"))
+    if zone_free:
+        df = df.withColumn("date", df["date"].cast("timestamp_ntz"))
+    df.write.parquet(folder)
+    table = spark.read.parquet(folder)
+    for result in (
+        plans.event_pairs(table),
+        plans.events_on_day(table, datetime(2019, 1, 5)),
+    ):
+        assert "GreaterThanOrEqual(date," in plan_text(result)
+        assert "LessThan(date," in plan_text(result)
+
+
+def test_scans_read_only_what_a_query_uses(spark, quakes, folder):
+    quakes(_near("2019-01-05 00:00:00", "a")).write.parquet(folder)
+    table = spark.read.parquet(folder)
+    text = plan_text(plans.state_frequency(table))
+    assert "ReadSchema: struct<magnitude:float,state:string,date:timestamp>" in text
+    assert "IsNotNull(state)" in text
+    assert "TakeOrderedAndProject" in text
+    text = plan_text(plans.largest_aftershock(table))
+    assert "GreaterThanOrEqual(magnitude,8.0)" in text and "LessThan(magnitude,8.0)" in text
+    assert "depth" not in text and "significance" not in text
+
+
+def test_largest_drops_losers_before_its_shuffle(spark, quakes, folder):
+    quakes(_near("2019-01-05 00:00:00", "a")).write.parquet(folder)
+    text = plan_text(plans.largest_aftershock(spark.read.parquet(folder)))
+    assert text.count("WindowGroupLimit") >= 2
+
+
+@pytest.mark.parametrize(
+    "query",
+    ["event_pairs", "largest_aftershock", "foreshock_pairs", "depth_running"],
+)
+def test_no_theta_joins_and_no_python_workers(spark, quakes, folder, query):
+    quakes(_near("2019-01-05 00:00:00", "a")).write.parquet(folder)
+    text = plan_text(getattr(plans, query)(spark.read.parquet(folder)))
+    for banned in ("NestedLoop", "Cartesian", "Python", "Pandas", "ArrowEval"):
+        assert banned not in text
