@@ -146,6 +146,10 @@ _AFTER_CTE: dict[str, str] = {
     from quakes
     """,
     "read_table": _CLEAN,
+    "sql_over_table": """
+    select state, count(*) as total_occurrences, avg(magnitude) as average_magnitude
+    from quakes where tsunami <> 0 and state is not null group by state
+    """,
     "flatten_geojson": """
     select longitude, latitude, d.depth, place as location, magnitude, epoch_ms(date_trunc('milliseconds', ts)) as time,
       cast(tsunami as varchar) as tsunami, event_type as status
@@ -161,6 +165,9 @@ _AFTER_CTE: dict[str, str] = {
     "stream_equator_max": _window(
         300, "max(magnitude) as max_magnitude", "latitude >= -5 and latitude <= 5"
     ),
+    "stream_replayed_slices": _window(
+        300, "max(magnitude) as max_magnitude", "latitude >= -5 and latitude <= 5"
+    ),
     "stream_equator_count_gt4": _window(
         300,
         "count(*) as count_gt4",

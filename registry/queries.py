@@ -14,7 +14,14 @@ from temblor import plans, streaming
 from temblor.config import shared_dir
 from temblor.operators import latest_view, proximity_join
 from temblor.sinks import file_batch_sink, read_changelog, write_table
-from temblor.sources import flatten_geojson, read_quakes_csv, read_table, replay_slices
+from temblor.sources import (
+    flatten_geojson,
+    read_quakes_csv,
+    read_table,
+    read_text_stream,
+    replay_slices,
+    write_slices,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,6 +101,25 @@ def _flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_geojson(tables.documents(spark, sf_dir))
 
 
+def _sql_over_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL text over a catalog table; a closing semicolon is accepted."""
+    path = shared_dir(spark, "table")
+    name = "quakes_" + path.rsplit("-", 1)[1]
+    write_table(plans.preprocess_quakes(tables.raw_quakes(spark, sf_dir)), name, path)
+    return spark.sql(
+        f"SELECT state, COUNT(*) AS total_occurrences, AVG(magnitude) AS average_magnitude "
+        f"FROM {name} WHERE tsunami <> 0 AND state IS NOT NULL GROUP BY state;"
+    )
+
+
+def _replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slices of five hours written as message files, then read back as a stream."""
+    path = shared_dir(spark, "slices")
+    write_slices(replay_slices(tables.message_fields(spark, sf_dir), 300, column="moment"), path)
+    parsed = streaming.parse_quakes(read_text_stream(spark, path))
+    return streaming.stream_equator_max(parsed, delay=tables.replay_delay(spark, sf_dir))
+
+
 def _sliced(minutes: int) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         events = tables.quakes(spark, sf_dir).select("event_id", "date")
@@ -133,6 +159,7 @@ QUERIES: dict[str, Query] = {
     "proximity_join": _proximity,
     "read_quakes_csv": _csv_roundtrip,
     "read_table": _table_roundtrip,
+    "sql_over_table": _sql_over_table,
     "flatten_geojson": _flattened,
     "replay_slices_15": _sliced(15),
     "replay_slices_300": _sliced(300),
@@ -144,6 +171,7 @@ QUERIES: dict[str, Query] = {
     "stream_count_gt3": _windowed(streaming.stream_count_gt3),
     "stream_equator_max": _windowed(streaming.stream_equator_max),
     "stream_equator_count_gt4": _windowed(streaming.stream_equator_count_gt4),
+    "stream_replayed_slices": _stream(_replayed, latest=True, mode="update"),
     "stream_location_join": _stream(_joined_streams, latest=False, mode="append"),
 }
 

@@ -115,21 +115,27 @@ def _quakes(events: DataFrame) -> DataFrame:
     )
 
 
+def message_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fields of the messages, not yet encoded, and the event's `moment`."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return _quakes(events).select(*_fields(), F.col("ts").alias("moment"))
+
+
 def _messages(events: DataFrame) -> DataFrame:
-    return _quakes(events).select(
-        F.to_json(
-            F.struct(
-                "longitude",
-                "latitude",
-                "depth",
-                F.col("place").alias("location"),
-                "magnitude",
-                F.unix_millis(F.col("ts").cast("timestamp")).alias("time"),
-                "tsunami",
-                F.col("event_type").alias("status"),
-            )
-        ).alias("value")
-    )
+    return _quakes(events).select(F.to_json(F.struct(*_fields())).alias("value"))
+
+
+def _fields() -> list[Column]:
+    return [
+        F.col("longitude"),
+        F.col("latitude"),
+        F.col("depth"),
+        F.col("place").alias("location"),
+        F.col("magnitude"),
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("time"),
+        F.col("tsunami"),
+        F.col("event_type").alias("status"),
+    ]
 
 
 QUAKES_SQL = """

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from temblor import plans, streaming
 from temblor.config import JdbcTarget, KafkaTopic, build_session
 from temblor.sinks import (
-    console_query,
+    debug_console,
     file_batch_sink,
     jdbc_batch_sink,
     write_jdbc,
@@ -97,6 +97,7 @@ def run_streams(
     checkpoint_root: str,
     continuous: bool = True,
     debug: bool = False,
+    state_partitions: int | None = None,
 ) -> list[StreamingQuery]:
     """Start every streaming result from two streams of raw messages.
 
@@ -112,13 +113,14 @@ def run_streams(
             f"{checkpoint_root.rstrip('/')}/{name}",
             job.mode,
             job.every if continuous else None,
+            state_partitions,
         )
         for name, job in STREAM_JOBS.items()
     ]
     if debug:
         raw = first.select(first["value"].cast("string"))
         queries += [
-            console_query(df, mode).start()
+            debug_console(df, mode).start()
             for df, mode in (
                 (streaming.stream_location_join(a, b), "append"),
                 (raw, "append"),
@@ -164,7 +166,14 @@ def main(argv: list[str] | None = None) -> None:
         read_quake_stream(spark, KafkaTopic(*source.rsplit("/", 1)))
         for source in (args.first, args.second)
     )
-    queries = run_streams(first, second, sink_for, args.checkpoints, debug=args.debug)
+    queries = run_streams(
+        first,
+        second,
+        sink_for,
+        args.checkpoints,
+        debug=args.debug,
+        state_partitions=args.state_partitions,
+    )
     streaming.await_all(spark, queries)
 
 
@@ -178,6 +187,7 @@ def _arguments() -> argparse.ArgumentParser:
     stream.add_argument("--first", required=True, metavar="BROKERS/TOPIC")
     stream.add_argument("--second", required=True, metavar="BROKERS/TOPIC")
     stream.add_argument("--checkpoints", required=True, help="folder on shared storage")
+    stream.add_argument("--state-partitions", type=int, help="fixed once a checkpoint exists")
     stream.add_argument("--debug", action="store_true", help="also show results on the console")
     for program in (batch, stream):
         sink = program.add_mutually_exclusive_group(required=True)

@@ -21,8 +21,10 @@ def tile_hot_keys(
 
     For a key with l left and r right rows the left rows fall into ceil(l / hot_rows) strips
     and the right rows into ceil(r / hot_rows); each left row is repeated once per right strip
-    and the other way round, so every (left, right) pair meets in exactly one tile and no tile
-    exceeds hot_rows x hot_rows. Keys that are not hot get the single tile (0, 0).
+    and the other way round, so every (left, right) pair meets in exactly one tile of about
+    hot_rows x hot_rows. Keys that are not hot get the single tile (0, 0). The strip is a hash of
+    the row, the same at every attempt of a task; exact copies of a row share theirs, so remove
+    copies first where there may be many.
 
     The table of hot keys is broadcast. It has at most `max_hot_keys` rows: the largest keys
     are taken first and a key left out is joined unsplit, which changes the plan and not the

@@ -1,6 +1,6 @@
 from temblor.sinks.batch import write_jdbc, write_kafka, write_table
 from temblor.sinks.stream import (
-    console_query,
+    debug_console,
     file_batch_sink,
     jdbc_batch_sink,
     kafka_query,
@@ -8,7 +8,7 @@ from temblor.sinks.stream import (
 )
 
 __all__ = [
-    "console_query",
+    "debug_console",
     "file_batch_sink",
     "jdbc_batch_sink",
     "kafka_query",

@@ -21,8 +21,14 @@ def write_table(
 
 
 def write_jdbc(df: DataFrame, target: JdbcTarget, table: str, mode: str = "overwrite") -> None:
-    """Write a relational table; by default drop and create it."""
-    df.write.format("jdbc").options(**target.options(table)).mode(mode).save()
+    """Write a relational table; by default drop and create it.
+
+    The rows are dealt out to as many tasks as there may be connections. Leaving that to the
+    writer would merge partitions without a shuffle, and the query's last stage would run in
+    those few tasks as well.
+    """
+    dealt = df.repartition(target.max_connections)
+    dealt.write.format("jdbc").options(**target.options(table)).mode(mode).save()
 
 
 def write_kafka(df: DataFrame, topic: KafkaTopic) -> None:

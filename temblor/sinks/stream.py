@@ -54,7 +54,7 @@ def kafka_query(df: DataFrame, topic: KafkaTopic) -> DataStreamWriter:
     return json_values(df).writeStream.format("kafka").options(**topic.write_options())
 
 
-def console_query(df: DataFrame, mode: str = "append") -> DataStreamWriter:
+def debug_console(df: DataFrame, mode: str = "append") -> DataStreamWriter:
     """Show a stream in full width, for debugging."""
     return df.writeStream.format("console").option("truncate", "false").outputMode(mode)
 

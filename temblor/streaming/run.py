@@ -16,11 +16,14 @@ def start_changelog(
     checkpoint: str,
     mode: str = "update",
     every: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Feed `df` to `sink`, batch by batch.
 
     With `every` (e.g. '60 seconds') the query runs on; without, it takes what is there and
-    stops. `checkpoint` must be on shared storage and belong to this query alone.
+    stops. `checkpoint` must be on shared storage and belong to this query alone. State is split
+    into `state_partitions` parts, by default the session's shuffle partitions; the number holds
+    for the life of the checkpoint, so choose it for the largest state expected.
     """
     writer = (
         df.writeStream.queryName(name)
@@ -29,8 +32,11 @@ def start_changelog(
         .foreachBatch(sink)
     )
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    # State store settings are fixed when a query starts.
-    with session_conf(df.sparkSession, STREAM_DEFAULTS):
+    settings = dict(STREAM_DEFAULTS)
+    if state_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    # A query takes these settings over when it starts.
+    with session_conf(df.sparkSession, settings):
         return writer.trigger(**trigger).start()
 
 

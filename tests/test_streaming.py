@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from temblor.config import shared_dir
 from temblor.operators import latest_view
-from temblor.sinks import console_query, file_batch_sink, read_changelog
+from temblor.sinks import debug_console, file_batch_sink, read_changelog
 from temblor.sources import read_text_stream
 from temblor.streaming import (
     parse_quakes,
@@ -223,7 +223,7 @@ def test_a_busy_location_is_spread_over_the_join_key(spark):
 
 def test_console_copies_run(inbox):
     inbox.add(message(MIDNIGHT))
-    writer = console_query(stream_avg_magnitude(inbox.stream()), "complete")
+    writer = debug_console(stream_avg_magnitude(inbox.stream()), "complete")
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     assert "ConsoleTable" in query.lastProgress.sink.description
