@@ -89,29 +89,29 @@ def replay_delay(spark: SparkSession, sf_dir: str) -> str:
     return f"{(span or 0) + 3600} seconds"
 
 
-def _site() -> Column:
-    return F.col("user_id") * 17 % 40
-
-
 def _quakes(events: DataFrame) -> DataFrame:
-    site, event = _site(), F.col("event_id")
-    raw_state = F.when(F.col("user_id") % 23 != 0, F.concat(
-        F.lit(" "), "event_type", F.lit("_"), (F.col("user_id") % 10).cast("string"), F.lit(" ")
-    ))
-    return events.select(
-        (F.col("ts") + F.make_dt_interval((site % 6 * 150).cast("int"))).alias("date"),
-        F.concat(F.lit("SITE_"), site.cast("string")).alias("place"),
-        F.upper(F.trim(raw_state)).alias("state"),
-        F.when(event % 11 == 0, 1).otherwise(0).alias("tsunami"),
-        (event % 1000).cast("int").alias("significance"),
-        F.when(event % 97 != 0, (event * 37 % 73).cast("double") / 8).alias("magnitude"),
-        ((site * 4 - 80).cast("double") + (event % 5).cast("double") / 16).alias("latitude"),
-        ((site * 9 - 180).cast("double") + (event % 3).cast("double") / 16).alias("longitude"),
-        F.when(event % 89 != 0, (event % 700).cast("double")).alias("depth"),
+    sites = events.selectExpr(
+        "event_id",
+        "ts",
+        "event_type",
+        "user_id * 17 % 40 AS site",
+        "CASE WHEN user_id % 23 <> 0 THEN"
+        " concat(' ', event_type, '_', CAST(user_id % 10 AS STRING), ' ') END AS raw_state",
+    )
+    return sites.selectExpr(
+        "ts + make_dt_interval(CAST(site % 6 * 150 AS INT)) AS date",
+        "concat('SITE_', CAST(site AS STRING)) AS place",
+        "upper(trim(raw_state)) AS state",
+        "CASE WHEN event_id % 11 = 0 THEN 1 ELSE 0 END AS tsunami",
+        "CAST(event_id % 1000 AS INT) AS significance",
+        "CASE WHEN event_id % 97 <> 0 THEN CAST(event_id * 37 % 73 AS DOUBLE) / 8 END AS magnitude",
+        "CAST(site * 4 - 80 AS DOUBLE) + CAST(event_id % 5 AS DOUBLE) / 16 AS latitude",
+        "CAST(site * 9 - 180 AS DOUBLE) + CAST(event_id % 3 AS DOUBLE) / 16 AS longitude",
+        "CASE WHEN event_id % 89 <> 0 THEN CAST(event_id % 700 AS DOUBLE) END AS depth",
         "event_id",
         "ts",
         "event_type",
-        raw_state.alias("raw_state"),
+        "raw_state",
     )
 
 

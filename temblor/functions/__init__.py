@@ -1,23 +1,10 @@
 from temblor.functions.columns import (
-    columns_as,
     count_where,
-    elapsed_seconds,
     hemisphere,
     in_band,
     in_period,
-    is_finite,
     literal_like,
     ratio,
 )
 
-__all__ = [
-    "columns_as",
-    "count_where",
-    "elapsed_seconds",
-    "hemisphere",
-    "in_band",
-    "in_period",
-    "is_finite",
-    "literal_like",
-    "ratio",
-]
+__all__ = ["count_where", "hemisphere", "in_band", "in_period", "literal_like", "ratio"]

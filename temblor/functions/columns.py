@@ -41,18 +41,3 @@ def hemisphere(latitude: Column) -> Column:
 def in_band(latitude: Column, degrees: float) -> Column:
     """Within `degrees` of the equator, both edges included."""
     return latitude.between(-degrees, degrees)
-
-
-def is_finite(number: Column) -> Column:
-    """Not NULL, NaN or infinite (Spark orders NaN above infinity)."""
-    return F.abs(number) < float("inf")
-
-
-def elapsed_seconds(earlier: Column, later: Column) -> Column:
-    """Difference in whole seconds; each moment is rounded down before subtracting."""
-    return F.unix_timestamp(later) - F.unix_timestamp(earlier)
-
-
-def columns_as(df: DataFrame, suffix: str) -> DataFrame:
-    """Every column renamed with `suffix`, so that two sides of a join share no name."""
-    return df.select([F.col(name).alias(name + suffix) for name in df.columns])

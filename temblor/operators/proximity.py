@@ -1,11 +1,14 @@
-"""Joining events that lie close together in space and time."""
+"""Joining events that lie close together in space and time.
+
+Expressions are written as SQL text: one call to the JVM each, where building them from Column
+objects took longer than running the join on a small table.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from temblor.functions import columns_as, elapsed_seconds, is_finite
 from temblor.operators.skew import TILES, tile_hot_keys
 
 CELL = ("cell_lat", "cell_lon", "cell_time")
@@ -26,7 +29,8 @@ def proximity_join(
     direction: str = "both",
     *,
     suffixes: tuple[str, str] = ("_left", "_right"),
-    hot_rows: int = 20_000,
+    equal: tuple[str, str] | None = None,
+    hot_rows: int | None = 20_000,
 ) -> DataFrame:
     """Inner join on |latitude| and |longitude| differences <= `box` and on time.
 
@@ -36,6 +40,8 @@ def proximity_join(
       before  0 < -d <= seconds
       later   the right moment is later, by any fraction of a second, and d <= seconds
 
+    With `equal`, a column of each side, those two have to be equal as well.
+
     Both sides need `latitude`, `longitude` and `date`; every column comes out with its side's
     suffix. Rows with a NULL or non-finite position or a NULL date match nothing.
 
@@ -45,34 +51,44 @@ def proximity_join(
     one cell, so a pair meets once. Cells holding more than `hot_rows` rows of a side are split.
     Make the smaller side the left one.
     """
-    side_left, side_right = suffixes
-    a = columns_as(_located(left), side_left)
-    b = columns_as(_located(right), side_right)
-    lat_a, lon_a, date_a = (F.col(c + side_left) for c in ("latitude", "longitude", "date"))
-    lat_b, lon_b, date_b = (F.col(c + side_right) for c in ("latitude", "longitude", "date"))
-
+    a, b = (
+        _located(df).toDF(*[name + suffix for name in df.columns])
+        for df, suffix in zip((left, right), suffixes)
+    )
+    (lat_a, lon_a, date_a), (lat_b, lon_b, date_b) = (
+        [f"`{name}{suffix}`" for name in ("latitude", "longitude", "date")] for suffix in suffixes
+    )
     reach = box + REACH_MARGIN
     width = cell_width(reach)
     back, ahead = _time_reach(direction, seconds)
     span = 2 * (seconds + 1)
 
-    moment = F.unix_timestamp(date_a)
-    a = _areas_met(a, lat_a, lon_a, reach, width)
-    a = _cells_met(a, "cell_time", moment - back, moment + ahead, span)
-    b = b.select(
+    a = _areas_met(a, lat_a, lon_a, reach, width).selectExpr(
+        "*", f"{_cells_met(_second(date_a), back, ahead, span)} AS cell_time"
+    )
+    b = b.selectExpr(
         "*",
-        _cell(lat_b, width).alias("cell_lat"),
-        _cell(lon_b, width).alias("cell_lon"),
-        _cell(F.unix_timestamp(date_b), span).alias("cell_time"),
+        f"{_cell(lat_b, width)} AS cell_lat",
+        f"{_cell(lon_b, width)} AS cell_lon",
+        f"{_cell(_second(date_b), span)} AS cell_time",
     )
-    a, b = tile_hot_keys(a, b, CELL, hot_rows)
+    keys = list(CELL)
+    if equal:
+        a, b = (
+            df.selectExpr("*", f"`{name}{suffix}` AS equal")
+            for df, name, suffix in zip((a, b), equal, suffixes)
+        )
+        keys.append("equal")
+    if hot_rows:
+        a, b = tile_hot_keys(a, b, keys, hot_rows)
+        keys += TILES
     exact = (
-        (lat_a - lat_b).between(-box, box)
-        & (lon_a - lon_b).between(-box, box)
-        & _in_time(date_a, date_b, seconds, direction)
+        f"{lat_a} - {lat_b} BETWEEN -{float(box)}D AND {float(box)}D"
+        f" AND {lon_a} - {lon_b} BETWEEN -{float(box)}D AND {float(box)}D"
+        f" AND {_in_time(date_a, date_b, seconds, direction)}"
     )
     # The exact test follows the join as a filter; Catalyst folds it into the join condition.
-    return a.join(b, [*CELL, *TILES]).where(exact).drop(*CELL, *TILES)
+    return a.join(b, keys).where(exact).drop(*keys)
 
 
 def within_reach(df: DataFrame, of: DataFrame, box: float = 0.1) -> DataFrame:
@@ -84,14 +100,13 @@ def within_reach(df: DataFrame, of: DataFrame, box: float = 0.1) -> DataFrame:
     """
     reach = box + REACH_MARGIN
     width = cell_width(reach)
-    lat, lon = F.col("latitude"), F.col("longitude")
     areas = (
-        _areas_met(_located(of), lat, lon, reach, width)
-        .select(_area(F.col("cell_lat"), F.col("cell_lon")).alias("area"))
+        _areas_met(_located(of), "latitude", "longitude", reach, width)
+        .selectExpr(f"{_area('cell_lat', 'cell_lon')} AS area")
         .distinct()
     )
-    own = _area(_cell(lat, width), _cell(lon, width))
-    return _located(df).join(F.broadcast(areas), own == F.col("area"), "left_semi")
+    own = F.expr(_area(_cell("latitude", width), _cell("longitude", width)))
+    return _located(df).join(F.broadcast(areas), own == areas["area"], "left_semi")
 
 
 def cell_width(reach: float) -> float:
@@ -103,40 +118,41 @@ def cell_width(reach: float) -> float:
 
 
 def _located(df: DataFrame) -> DataFrame:
+    """Rows that can match. Spark orders NaN above infinity, so one test excludes both."""
     return df.where(
-        is_finite(F.col("latitude")) & is_finite(F.col("longitude")) & F.col("date").isNotNull()
+        "abs(latitude) < double('infinity') AND abs(longitude) < double('infinity')"
+        " AND date IS NOT NULL"
     )
 
 
-def _cell(value: Column, width: float) -> Column:
+def _second(date: str) -> str:
+    return f"unix_timestamp({date})"
+
+
+def _cell(value: str, width: float) -> str:
     """Cell number of a position or second that is known not to be NULL.
 
     Saying so with coalesce keeps Catalyst from adding IS NOT NULL tests on the join side only,
     after which the join and the pass that looks for hot cells could no longer share a shuffle.
     """
-    return F.coalesce(F.floor(value.cast("double") / F.lit(float(width))), F.lit(0))
+    return f"coalesce(floor(CAST({value} AS DOUBLE) / {float(width)}D), 0L)"
 
 
-def _cells_met(df: DataFrame, name: str, low: Column, high: Column, width: float) -> DataFrame:
-    """One row per cell between `low` and `high`, which are at most one cell width apart."""
-    first, last = _cell(low, width), _cell(high, width)
-    cells = F.when(first == last, F.array(first)).otherwise(F.array(first, last))
-    return df.select("*", F.explode(cells).alias(name))
+def _cells_met(value: str, back: float, ahead: float, width: float) -> str:
+    """A row per cell from `value - back` to `value + ahead`, at most one cell width apart."""
+    low = _cell(f"({value} - {float(back)}D)", width)
+    high = _cell(f"({value} + {float(ahead)}D)", width)
+    return f"explode(CASE WHEN {low} = {high} THEN array({low}) ELSE array({low}, {high}) END)"
 
 
-def _areas_met(
-    df: DataFrame, lat: Column, lon: Column, reach: float, width: float
-) -> DataFrame:
-    """One row per spatial cell that the box around a point meets."""
-    lat, lon = lat.cast("double"), lon.cast("double")
-    df = _cells_met(df, "cell_lat", lat - reach, lat + reach, width)
-    return _cells_met(df, "cell_lon", lon - reach, lon + reach, width)
+def _areas_met(df: DataFrame, lat: str, lon: str, reach: float, width: float) -> DataFrame:
+    """A row per spatial cell that the box around a point meets."""
+    df = df.selectExpr("*", f"{_cells_met(lat, reach, reach, width)} AS cell_lat")
+    return df.selectExpr("*", f"{_cells_met(lon, reach, reach, width)} AS cell_lon")
 
 
-def _area(cell_lat: Column, cell_lon: Column) -> Column:
-    return F.pmod(cell_lat, F.lit(AREA_ROWS)) * AREA_COLUMNS + F.pmod(
-        cell_lon, F.lit(AREA_COLUMNS)
-    )
+def _area(cell_lat: str, cell_lon: str) -> str:
+    return f"pmod({cell_lat}, {AREA_ROWS}L) * {AREA_COLUMNS}L + pmod({cell_lon}, {AREA_COLUMNS}L)"
 
 
 def _time_reach(direction: str, seconds: int) -> tuple[int, int]:
@@ -152,12 +168,11 @@ def _time_reach(direction: str, seconds: int) -> tuple[int, int]:
     return reaches[direction]
 
 
-def _in_time(date_a: Column, date_b: Column, seconds: int, direction: str) -> Column:
-    forward = elapsed_seconds(date_a, date_b)
-    if direction == "both":
-        return (date_a != date_b) & (F.abs(forward) <= seconds)
-    if direction == "after":
-        return (forward > 0) & (forward <= seconds)
-    if direction == "before":
-        return (forward < 0) & (forward >= -seconds)
-    return (date_b > date_a) & (forward <= seconds)
+def _in_time(date_a: str, date_b: str, seconds: int, direction: str) -> str:
+    elapsed = f"{_second(date_b)} - {_second(date_a)}"
+    return {
+        "both": f"{date_a} <> {date_b} AND abs({elapsed}) <= {seconds}",
+        "after": f"{elapsed} BETWEEN 1 AND {seconds}",
+        "before": f"{elapsed} BETWEEN -{seconds} AND -1",
+        "later": f"{date_b} > {date_a} AND {elapsed} <= {seconds}",
+    }[direction]

@@ -32,38 +32,40 @@ def tile_hot_keys(
     others are at least as large. Counts are exact and the order is total, so the two sides
     agree on the strips even if the table is computed twice.
     """
-    keys = list(keys)
+    names = [f"`{key}`" for key in keys]
     sizes = (
-        left.select(*keys, F.lit(1).alias("l"), F.lit(0).alias("r"))
-        .unionByName(right.select(*keys, F.lit(0).alias("l"), F.lit(1).alias("r")))
-        .groupBy(*keys)
-        .agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
+        left.selectExpr(*names, "1 AS l", "0 AS r")
+        .union(right.selectExpr(*names, "0 AS l", "1 AS r"))
+        .groupBy(*names)
+        .agg(F.expr("sum(l) AS l"), F.expr("sum(r) AS r"))
     )
-    largest = F.greatest("l", "r")
-    hot = F.broadcast(
-        sizes.where(largest > hot_rows)
-        .orderBy(largest.desc(), *keys)
-        .limit(max_hot_keys)
-        .select(
-            *keys,
-            F.ceil(F.col("l") / hot_rows).alias("left_strips"),
-            F.ceil(F.col("r") / hot_rows).alias("right_strips"),
+    hot = (
+        sizes.selectExpr(
+            *names,
+            "greatest(l, r) AS largest",
+            f"ceil(l / {hot_rows}) AS left_strips",
+            f"ceil(r / {hot_rows}) AS right_strips",
         )
+        .where(f"largest > {hot_rows}")
+        .orderBy(F.desc("largest"), *names)
+        .limit(max_hot_keys)
+        .drop("largest")
     )
+    hot = F.broadcast(hot)
     return (
-        _cut(left, hot, keys, own="left", other="right"),
-        _cut(right, hot, keys, own="right", other="left"),
+        _cut(left, hot, list(keys), own="left", other="right"),
+        _cut(right, hot, list(keys), own="right", other="left"),
     )
 
 
 def _cut(df: DataFrame, hot: DataFrame, keys: list[str], own: str, other: str) -> DataFrame:
-    columns = df.columns
+    columns = [f"`{name}`" for name in df.columns]
     # A key may be hot on one side and absent from the other: that is one strip, not none.
     own_strips, other_strips = (
-        F.greatest(F.coalesce(f"{side}_strips", F.lit(1)), F.lit(1)) for side in (own, other)
+        f"greatest(coalesce({side}_strips, 1L), 1L)" for side in (own, other)
     )
-    return df.join(hot, keys, "left").select(
+    return df.join(hot, keys, "left").selectExpr(
         *columns,
-        F.coalesce(F.pmod(F.xxhash64(*columns), own_strips), F.lit(0)).alias(f"tile_{own}"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), other_strips - 1)).alias(f"tile_{other}"),
+        f"coalesce(pmod(xxhash64({', '.join(columns)}), {own_strips}), 0L) AS tile_{own}",
+        f"explode(sequence(0L, {other_strips} - 1L)) AS tile_{other}",
     )

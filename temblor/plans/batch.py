@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from temblor.functions import count_where, hemisphere, in_band, in_period, ratio
-from temblor.operators import keep_largest, proximity_join, running_profile, within_reach
+from temblor.operators import proximity_join, running_profile, within_reach
 
 TIE_SEED = 7
 
@@ -155,26 +155,26 @@ def largest_aftershock(
     df: DataFrame, main: float = 8, box: float = 0.1, seconds: int = 18_000
 ) -> DataFrame:
     """For each event of at least `main`: the strongest weaker event soon after it, ties kept."""
-    pairs = _around_main(df, main, box, seconds, "after")
-    return _shock_columns(keep_largest(pairs, MAIN_EVENT, "magnitude_other"), "aftershock")
+    return _shock_columns(_largest_around_main(df, main, box, seconds, "after"), "aftershock")
 
 
 def foreshock_pairs(
     df: DataFrame, main: float = 8, box: float = 0.1, seconds: int = 18_000
 ) -> DataFrame:
     """For each event of at least `main`: every weaker event shortly before it."""
-    return _shock_columns(_around_main(df, main, box, seconds, "before"), "foreshock")
+    strong, weaker = _strong_and_weaker(df, main, box)
+    pairs = proximity_join(strong, weaker, box, seconds, "before", suffixes=SIDES)
+    return _shock_columns(pairs, "foreshock")
 
 
 def largest_foreshock(
     df: DataFrame, main: float = 8, box: float = 0.1, seconds: int = 18_000
 ) -> DataFrame:
     """For each event of at least `main`: the strongest weaker event shortly before it."""
-    pairs = _around_main(df, main, box, seconds, "before")
-    return _shock_columns(keep_largest(pairs, MAIN_EVENT, "magnitude_other"), "foreshock")
+    return _shock_columns(_largest_around_main(df, main, box, seconds, "before"), "foreshock")
 
 
-MAIN_EVENT = ("date_main", "magnitude_main", "place_main")
+SIDES = ("_main", "_other")
 
 
 def _traits(df: DataFrame) -> DataFrame:
@@ -185,18 +185,45 @@ def _traits(df: DataFrame) -> DataFrame:
     return df.select("place", "date", "magnitude", "latitude", "longitude").distinct()
 
 
-def _around_main(
+def _strong_and_weaker(df: DataFrame, main: float, box: float) -> tuple[DataFrame, DataFrame]:
+    """Events of at least `main`, and the others in their areas; a NULL magnitude is in neither.
+
+    The weaker side loses everything out of the strong side's reach before its first shuffle.
+    """
+    strong = _traits(df.where(F.col("magnitude") >= main))
+    return strong, _traits(within_reach(df.where(F.col("magnitude") < main), of=strong, box=box))
+
+
+def _largest_around_main(
     df: DataFrame, main: float, box: float, seconds: int, direction: str
 ) -> DataFrame:
-    """Strong events joined with the weaker ones around them.
+    """Strong events with the strongest of the weaker events around them, ties kept.
 
-    A NULL magnitude is on neither side. The strong side is the one copied to several cells, and
-    the weaker side loses everything out of the strong side's reach before its first shuffle.
+    Forming all pairs and ranking them would sort every pair of a busy place. Here the first
+    join only looks up the greatest magnitude: weaker events are merged beforehand to one row
+    per position and second (they match the same strong events), and pairs are folded into a
+    maximum as they arise. The second join finds who reached it, by equality.
+
+    Strong events of the same date, magnitude and place are one main event and share a maximum.
     """
-    strong = _traits(df.where(F.col("magnitude") >= main))
-    weaker = _traits(within_reach(df.where(F.col("magnitude") < main), of=strong, box=box))
+    strong, weaker = _strong_and_weaker(df, main, box)
+    whole_second = F.timestamp_seconds(F.unix_timestamp("date"))
+    spots = weaker.groupBy("latitude", "longitude", whole_second.alias("date")).agg(
+        F.max("magnitude").alias("magnitude")
+    )
+    tops = (
+        proximity_join(strong, spots, box, seconds, direction, suffixes=SIDES)
+        .groupBy("date_main", "magnitude_main", "place_main")
+        .agg(F.max("magnitude_other").alias("top"))
+    )
+    same_event = (
+        (F.col("date") == F.col("date_main"))
+        & (F.col("magnitude") == F.col("magnitude_main"))
+        & F.col("place").eqNullSafe(F.col("place_main"))
+    )
+    mains = strong.join(tops, same_event).select(*strong.columns, "top")
     return proximity_join(
-        strong, weaker, box, seconds, direction, suffixes=("_main", "_other")
+        mains, weaker, box, seconds, direction, suffixes=SIDES, equal=("top", "magnitude"), hot_rows=None
     )
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from temblor.operators import (
-    keep_largest,
     latest_view,
     proximity_join,
     running_profile,
@@ -152,12 +151,15 @@ def test_hot_cell_counting_shares_the_shuffle_of_the_join(spark):
     assert final.count("FileScan") == 1
 
 
-def test_keep_largest_keeps_ties(spark):
-    df = spark.createDataFrame(
-        [("a", 1.0, 1), ("a", 3.0, 2), ("a", 3.0, 3), ("b", -1.0, 4), (None, 0.0, 5)],
-        "k STRING, v DOUBLE, id INT",
-    )
-    assert rows(keep_largest(df, ["k"], "v").select("id")) == [(2,), (3,), (4,), (5,)]
+def test_proximity_join_with_an_equal_column(spark):
+    left, right = _events(spark, 300, 7), _events(spark, 300, 8)
+    a, b = left.withColumn("x", F.col("id") % 3), right.withColumn("y", F.col("id") % 3)
+    pairs = rows(_theta(left, right, 0.3, 900, "both"))
+    expected = [p for p in pairs if p[0] % 3 == p[1] % 3]
+    assert expected
+    for hot_rows in (None, 2):
+        found = proximity_join(a, b, 0.3, 900, equal=("x", "y"), hot_rows=hot_rows)
+        assert rows(found.select("id_left", "id_right")) == expected
 
 
 @pytest.mark.parametrize("kind", ["float", "double", "int"])

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+import random
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -285,10 +286,48 @@ def test_scans_read_only_what_a_query_uses(spark, quakes, folder):
     assert "depth" not in text and "significance" not in text
 
 
-def test_largest_drops_losers_before_its_shuffle(spark, quakes, folder):
+def test_largest_folds_pairs_and_never_ranks_them(spark, quakes, folder):
     quakes(_near("2019-01-05 00:00:00", "a")).write.parquet(folder)
     text = plan_text(plans.largest_aftershock(spark.read.parquet(folder)))
-    assert text.count("WindowGroupLimit") >= 2
+    assert "partial_max(magnitude_other" in text
+    assert "Window" not in text
+
+
+def test_largest_against_ranking_all_pairs(spark):
+    """Random rows, with many ties, shared seconds and repeated main events."""
+    rng = random.Random(3)
+    start = datetime(2020, 1, 1)
+    data = [
+        (
+            rng.choice("abc"),
+            start + timedelta(seconds=rng.randrange(0, 90_000, 600), milliseconds=rng.choice([0, 300])),
+            rng.choice([None, 8.0, 8.5, *[x / 2 for x in range(2, 16)]]),
+            rng.choice([0.0, 0.05, 0.2, 5.0]),
+            rng.choice([0.0, 0.1]),
+        )
+        for _ in range(900)
+    ]
+    df = spark.createDataFrame(
+        data, "place STRING, date TIMESTAMP, magnitude FLOAT, latitude FLOAT, longitude FLOAT"
+    )
+    df = df.withColumn("place", F.when(F.col("place") != "c", F.col("place")))
+    df.createOrReplaceTempView("random_quakes")
+    for query, kind, elapsed in (
+        (plans.largest_aftershock, "aftershock", "unix_timestamp(o.date) - unix_timestamp(m.date)"),
+        (plans.largest_foreshock, "foreshock", "unix_timestamp(m.date) - unix_timestamp(o.date)"),
+    ):
+        expected = spark.sql(f"""
+            SELECT DISTINCT pm, po, dm, do, mm, mo FROM (
+              SELECT m.place pm, o.place po, m.date dm, o.date do, m.magnitude mm, o.magnitude mo,
+                max(o.magnitude) OVER (PARTITION BY m.date, m.magnitude, m.place) top
+              FROM random_quakes m JOIN random_quakes o
+              ON m.latitude - o.latitude BETWEEN -0.1D AND 0.1D
+                AND m.longitude - o.longitude BETWEEN -0.1D AND 0.1D
+                AND {elapsed} BETWEEN 1 AND 18000
+              WHERE m.magnitude >= 8 AND o.magnitude < 8)
+            WHERE mo = top""")
+        assert expected.count() > 50
+        assert rows(query(df)) == rows(expected)
 
 
 @pytest.mark.parametrize(
