@@ -102,9 +102,13 @@ def run_streams(
     """Start every streaming result from two streams of raw messages.
 
     Without `continuous` each query takes what is there and stops. `debug` adds console copies;
-    each of them reads its source and keeps its state a second time.
+    each of them reads its source and keeps its state a second time. Rows from Kafka carry their
+    origin into the tables that only ever grow.
     """
-    a, b = streaming.parse_quakes(first), streaming.parse_quakes(second)
+    a, b = (
+        streaming.parse_quakes(raw, with_origin="offset" in raw.columns)
+        for raw in (first, second)
+    )
     queries = [
         streaming.start_changelog(
             job.build(a, b),

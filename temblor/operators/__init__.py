@@ -1,6 +1,13 @@
-from temblor.operators.latest import latest_view
+from temblor.operators.latest import drop_repeats, latest_view
 from temblor.operators.proximity import proximity_join, within_reach
 from temblor.operators.running import running_profile
 from temblor.operators.skew import tile_hot_keys
 
-__all__ = ["latest_view", "proximity_join", "running_profile", "tile_hot_keys", "within_reach"]
+__all__ = [
+    "drop_repeats",
+    "latest_view",
+    "proximity_join",
+    "running_profile",
+    "tile_hot_keys",
+    "within_reach",
+]

@@ -1,4 +1,4 @@
-"""Current state of a changelog."""
+"""Reading what streams have written."""
 
 from __future__ import annotations
 
@@ -8,6 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def drop_repeats(stored: DataFrame, identity: Sequence[str] = ("origin",)) -> DataFrame:
+    """Stored rows, each once.
+
+    A sink that cannot take rows back may hold a batch twice after a failure. Rows of a stream
+    that are not replaced by newer ones are told apart by their message's origin.
+    """
+    return stored.dropDuplicates(list(identity))
+
+
 def latest_view(
     changelog: DataFrame, keys: Sequence[str] = ("start", "end"), order: str = "batch_id"
 ) -> DataFrame:

@@ -29,7 +29,7 @@ def tile_hot_keys(
     The table of hot keys is broadcast. It has at most `max_hot_keys` rows: the largest keys
     are taken first and a key left out is joined unsplit, which changes the plan and not the
     result. A key left out holds less than 1/max_hot_keys of all rows, since max_hot_keys
-    others are at least as large. Counts are exact and the order is total, so the two sides
+    others are at least as large. Both inputs must be repeatable: counts are exact and the order is total, so the two sides
     agree on the strips even if the table is computed twice.
     """
     names = [f"`{key}`" for key in keys]

@@ -24,15 +24,14 @@ def stream_location_join(
     a row of the second is in one.
 
     With `bound_seconds=None` all pairs at a location match, whatever their times; Spark then
-    keeps every row ever seen.
+    keeps every row ever seen. Streams parsed with an origin give `origin1` and `origin2` as well.
     """
-    first = a.select(
-        "location", F.col("magnitude").alias("magnitude1"), F.col("time").alias("time1")
+    carried = ["magnitude", "time", *["origin"] * ("origin" in a.columns)]
+    first, second = (
+        df.select("location", *[F.col(name).alias(f"{name}{side}") for name in carried])
+        for df, side in ((a, 1), (b, 2))
     )
-    second = b.select(
-        "location", F.col("magnitude").alias("magnitude2"), F.col("time").alias("time2")
-    )
-    columns = ["location", "magnitude1", "time1", "magnitude2", "time2"]
+    columns = ["location", *first.columns[1:], *second.columns[1:]]
     if bound_seconds is None:
         return first.join(second, "location").select(*columns)
 
@@ -52,9 +51,7 @@ def stream_location_join(
     )
     first, second = first.alias("f"), second.alias("s")
     same = (F.col("f.location") == F.col("s.location")) & (F.col("f.bucket") == F.col("s.bucket"))
-    return first.join(second, same & near).select(
-        "f.location", "magnitude1", "time1", "magnitude2", "time2"
-    )
+    return first.join(second, same & near).select("f.location", *columns[1:])
 
 
 def _bucket(seconds, reach: int):

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from temblor.config import shared_dir
-from temblor.operators import latest_view
+from temblor.operators import drop_repeats, latest_view
 from temblor.sinks import debug_console, file_batch_sink, read_changelog
 from temblor.sources import read_text_stream
 from temblor.streaming import (
@@ -208,6 +208,22 @@ def test_location_join_over_micro_batches_equals_the_batch_join(spark, result, b
     assert sum(r[0] == "edge" for r in expected) == (4 if bound is None else 2)
 
 
+def test_kafka_rows_keep_their_origin(spark):
+    raw = spark.createDataFrame(
+        [("t", 0, 7, message(MIDNIGHT)), ("t", 1, 7, message(MIDNIGHT)), ("t", 1, 7, message(MIDNIGHT))],
+        "topic STRING, partition INT, offset BIGINT, value STRING",
+    )
+    parsed = parse_quakes(raw, with_origin=True)
+    stored = stream_all(parsed)
+    assert rows(drop_repeats(stored).select("origin")) == [("t/0/7",), ("t/1/7",)]
+    joined = stream_location_join(parsed, parsed, 900)
+    assert joined.columns == [
+        "location", "magnitude1", "time1", "origin1", "magnitude2", "time2", "origin2",
+    ]
+    assert joined.count() == 9
+    assert drop_repeats(joined, ("origin1", "origin2")).count() == 4
+
+
 def test_a_busy_location_is_spread_over_the_join_key(spark):
     """All rows at one location: the key still varies with time."""
     times = spark.range(0, 5000).select(
