@@ -30,7 +30,8 @@ def proximity_join(
     *,
     suffixes: tuple[str, str] = ("_left", "_right"),
     equal: tuple[str, str] | None = None,
-    hot_rows: int | None = 20_000,
+    hot_rows: int = 20_000,
+    cut_left: bool = True,
 ) -> DataFrame:
     """Inner join on |latitude| and |longitude| differences <= `box` and on time.
 
@@ -48,8 +49,8 @@ def proximity_join(
     The plan is an equi-join on grid cells followed by the exact test. Cells are at least twice
     as wide as the reach, so a left row's box meets one or two cells per dimension (1.8 x 1.8 in
     space at the defaults, two in time at most) and is copied only to those; each right row has
-    one cell, so a pair meets once. Cells holding more than `hot_rows` rows of a side are split.
-    Make the smaller side the left one.
+    one cell, so a pair meets once. Cells holding more than `hot_rows` rows of a side are split
+    (of the right side only, without `cut_left`). Make the smaller side the left one.
     """
     a, b = (
         _located(df).toDF(*[name + suffix for name in df.columns])
@@ -79,9 +80,8 @@ def proximity_join(
             for df, name, suffix in zip((a, b), equal, suffixes)
         )
         keys.append("equal")
-    if hot_rows:
-        a, b = tile_hot_keys(a, b, keys, hot_rows)
-        keys += TILES
+    a, b = tile_hot_keys(a, b, keys, hot_rows, cut_left=cut_left)
+    keys += TILES
     exact = (
         f"{lat_a} - {lat_b} BETWEEN -{float(box)}D AND {float(box)}D"
         f" AND {lon_a} - {lon_b} BETWEEN -{float(box)}D AND {float(box)}D"

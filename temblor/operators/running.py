@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS_PER_UNIT = 64
 LAST_BUCKET = 2**63 - 1
+SUMS = ("n", "known", "total")
 
 
 def running_profile(df: DataFrame, key: str, value: str) -> DataFrame:
@@ -22,75 +23,54 @@ def running_profile(df: DataFrame, key: str, value: str) -> DataFrame:
     of the buckets below it. Only one row per bucket is ever gathered per key, and the buckets of
     a key are bounded in number by the range of the type (see `_bucket`).
     """
-    peers = (
-        df.groupBy(key, value)
-        .agg(
-            F.count("*").alias("n"),
-            F.count(value).alias("known"),
-            F.coalesce(F.sum(F.col(value).cast("double")), F.lit(0.0)).alias("total"),
-        )
-        .withColumn("bucket", _bucket(F.col(value)))
+    merged = df.groupBy(key, value).agg(
+        F.expr("count(*) AS n"),
+        F.expr(f"count(`{value}`) AS known"),
+        F.expr(f"coalesce(sum(CAST(`{value}` AS DOUBLE)), 0D) AS total"),
     )
+    peers = merged.selectExpr("*", f"{_bucket(f'`{value}`')} AS bucket")
     # Merged peers are unique within the key, so a row frame equals the range frame.
-    within = (
-        Window.partitionBy(key, "bucket")
-        .orderBy(value)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    local = peers.select(
-        key,
-        value,
+    within = f"(PARTITION BY `{key}`, bucket ORDER BY `{value}` ROWS UNBOUNDED PRECEDING)"
+    local = peers.selectExpr(
+        f"`{key}`",
+        f"`{value}`",
         "bucket",
-        F.sum("n").over(within).alias("n"),
-        F.sum("known").over(within).alias("known"),
-        F.sum("total").over(within).alias("total"),
+        *[f"sum({name}) OVER {within} AS {name}" for name in SUMS],
     )
-    up_to = Window.partitionBy(key).orderBy("bucket")
-    below = up_to.rowsBetween(Window.unboundedPreceding, -1)
+    below = f"(PARTITION BY `{key}` ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND {{}})"
     offsets = (
         local.groupBy(key, "bucket")
         .agg(
-            F.max("n").alias("n"),
-            F.max("known").alias("known"),
-            F.max_by("total", "n").alias("total"),
-            F.min(value).alias("least"),
+            *[F.expr(f"max_by({name}, n) AS {name}") for name in SUMS],
+            F.expr(f"min(`{value}`) AS least"),
         )
-        .select(
-            F.col(key).alias("_key"),
-            F.col("bucket").alias("_bucket"),
-            _or_zero(F.sum("n").over(below)).alias("n_below"),
-            _or_zero(F.sum("known").over(below)).alias("known_below"),
-            _or_zero(F.sum("total").over(below)).alias("total_below"),
-            F.min("least")
-            .over(up_to.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-            .alias("least"),
+        .selectExpr(
+            f"`{key}` AS _key",
+            "bucket AS _bucket",
+            *[
+                f"coalesce(sum({name}) OVER {below.format('1 PRECEDING')}, 0) AS {name}_below"
+                for name in SUMS
+            ],
+            f"min(least) OVER {below.format('CURRENT ROW')} AS least",
         )
     )
-    known = F.col("known_below") + F.col("known")
-    return local.join(
-        offsets, F.col(key).eqNullSafe(F.col("_key")) & F.col("bucket").eqNullSafe(F.col("_bucket"))
-    ).select(
-        key,
-        value,
-        (F.col("n_below") + F.col("n")).alias("running_count"),
-        ((F.col("total_below") + F.col("total")) / F.nullif(known, F.lit(0))).alias(
-            "running_average"
-        ),
-        F.col("least").alias("running_min"),
-        F.col(value).alias("running_max"),
+    same_bucket = F.expr(f"`{key}` <=> _key AND bucket <=> _bucket")
+    return local.join(offsets, same_bucket).selectExpr(
+        f"`{key}`",
+        f"`{value}`",
+        "n_below + n AS running_count",
+        "(total_below + total) / nullif(known_below + known, 0) AS running_average",
+        "least AS running_min",
+        f"`{value}` AS running_max",
     )
 
 
-def _bucket(value: Column) -> Column:
+def _bucket(value: str) -> str:
     """A bucket number that never decreases as the value grows.
 
     Logarithmic, so that neither the number of buckets (under 12,000 for FLOAT, 91,000 for
     DOUBLE) nor the FLOAT values from 1 up that share one (about 2^17) depends on the data.
     NULL stays NULL and sorts first; NaN goes last, as Spark orders it.
     """
-    scaled = F.signum(value) * F.log1p(F.abs(value)) * BUCKETS_PER_UNIT
-    return F.when(F.isnan(value), F.lit(LAST_BUCKET)).otherwise(F.floor(scaled))
-
-
-def _or_zero(number: Column) -> Column:
-    return F.coalesce(number, F.lit(0))
+    scaled = f"signum({value}) * log1p(abs({value})) * {BUCKETS_PER_UNIT}"
+    return f"CASE WHEN isnan({value}) THEN {LAST_BUCKET}L ELSE floor({scaled}) END"

@@ -16,6 +16,7 @@ def tile_hot_keys(
     keys: Sequence[str],
     hot_rows: int,
     max_hot_keys: int = 65_536,
+    cut_left: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Give both sides two extra join columns that cut a hot key into a matrix of tiles.
 
@@ -31,14 +32,15 @@ def tile_hot_keys(
     result. A key left out holds less than 1/max_hot_keys of all rows, since max_hot_keys
     others are at least as large. Both inputs must be repeatable: counts are exact and the order is total, so the two sides
     agree on the strips even if the table is computed twice.
+
+    Without `cut_left` only right rows are counted and cut, which spares planning and running
+    the left side once more.
     """
     names = [f"`{key}`" for key in keys]
-    sizes = (
-        left.selectExpr(*names, "1 AS l", "0 AS r")
-        .union(right.selectExpr(*names, "0 AS l", "1 AS r"))
-        .groupBy(*names)
-        .agg(F.expr("sum(l) AS l"), F.expr("sum(r) AS r"))
-    )
+    counted = right.selectExpr(*names, "0 AS l", "1 AS r")
+    if cut_left:
+        counted = counted.union(left.selectExpr(*names, "1 AS l", "0 AS r"))
+    sizes = counted.groupBy(*names).agg(F.expr("sum(l) AS l"), F.expr("sum(r) AS r"))
     hot = (
         sizes.selectExpr(
             *names,

@@ -223,7 +223,14 @@ def _largest_around_main(
     )
     mains = strong.join(tops, same_event).select(*strong.columns, "top")
     return proximity_join(
-        mains, weaker, box, seconds, direction, suffixes=SIDES, equal=("top", "magnitude"), hot_rows=None
+        mains,
+        weaker,
+        box,
+        seconds,
+        direction,
+        suffixes=SIDES,
+        equal=("top", "magnitude"),
+        cut_left=False,
     )
 
 

@@ -122,6 +122,14 @@ def test_one_hot_cell_is_spread_over_many_tiles(spark):
     assert paired.select("a", "b").distinct().count() == plain.count()
 
 
+def test_only_right_rows_are_cut_on_request(spark):
+    left = spark.range(400).select("id", F.lit(0).alias("k"))
+    right = spark.range(900).select("id", F.lit(0).alias("k"))
+    a, b = tile_hot_keys(left, right, ["k"], hot_rows=100, cut_left=False)
+    assert a.count() == 400 * 9 and a.select("tile_left").distinct().count() == 1
+    assert b.count() == 900 and b.select("tile_right").distinct().count() == 9
+
+
 def test_a_key_hot_on_one_side_only(spark):
     left = spark.range(500).select("id", F.lit(0).alias("k"))
     right = spark.range(1).select(F.lit(7).alias("other"), F.lit(1).alias("k"))
@@ -157,8 +165,10 @@ def test_proximity_join_with_an_equal_column(spark):
     pairs = rows(_theta(left, right, 0.3, 900, "both"))
     expected = [p for p in pairs if p[0] % 3 == p[1] % 3]
     assert expected
-    for hot_rows in (None, 2):
-        found = proximity_join(a, b, 0.3, 900, equal=("x", "y"), hot_rows=hot_rows)
+    for cut_left in (True, False):
+        found = proximity_join(
+            a, b, 0.3, 900, equal=("x", "y"), hot_rows=2, cut_left=cut_left
+        )
         assert rows(found.select("id_left", "id_right")) == expected
 
 
