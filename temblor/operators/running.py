@@ -28,25 +28,32 @@ def running_profile(df: DataFrame, key: str, value: str) -> DataFrame:
         F.expr(f"count(`{value}`) AS known"),
         F.expr(f"coalesce(sum(CAST(`{value}` AS DOUBLE)), 0D) AS total"),
     )
-    peers = merged.selectExpr("*", f"{_bucket(f'`{value}`')} AS bucket")
+    # Inside a struct a NULL key equals itself, so one partitioning by group and bucket serves the
+    # window, the bucket totals and the join with what lies below.
+    peers = merged.selectExpr(
+        f"named_struct('key', `{key}`) AS grp",
+        f"`{value}`",
+        f"{_bucket(f'`{value}`')} AS bucket",
+        *SUMS,
+    )
     # Merged peers are unique within the key, so a row frame equals the range frame.
-    within = f"(PARTITION BY `{key}`, bucket ORDER BY `{value}` ROWS UNBOUNDED PRECEDING)"
+    within = f"(PARTITION BY grp, bucket ORDER BY `{value}` ROWS UNBOUNDED PRECEDING)"
     local = peers.selectExpr(
-        f"`{key}`",
-        f"`{value}`",
+        "grp",
         "bucket",
+        f"`{value}`",
         *[f"sum({name}) OVER {within} AS {name}" for name in SUMS],
     )
-    below = f"(PARTITION BY `{key}` ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND {{}})"
+    below = "(PARTITION BY grp ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND {})"
     offsets = (
-        local.groupBy(key, "bucket")
+        local.groupBy("grp", "bucket")
         .agg(
             *[F.expr(f"max_by({name}, n) AS {name}") for name in SUMS],
             F.expr(f"min(`{value}`) AS least"),
         )
         .selectExpr(
-            f"`{key}` AS _key",
-            "bucket AS _bucket",
+            "grp",
+            "bucket",
             *[
                 f"coalesce(sum({name}) OVER {below.format('1 PRECEDING')}, 0) AS {name}_below"
                 for name in SUMS
@@ -54,13 +61,12 @@ def running_profile(df: DataFrame, key: str, value: str) -> DataFrame:
             f"min(least) OVER {below.format('CURRENT ROW')} AS least",
         )
     )
-    same_bucket = F.expr(f"`{key}` <=> _key AND bucket <=> _bucket")
-    return local.join(offsets, same_bucket).selectExpr(
-        f"`{key}`",
+    return local.join(offsets, ["grp", "bucket"]).selectExpr(
+        f"grp.key AS `{key}`",
         f"`{value}`",
         "n_below + n AS running_count",
         "(total_below + total) / nullif(known_below + known, 0) AS running_average",
-        "least AS running_min",
+        f"CASE WHEN `{value}` IS NOT NULL THEN least END AS running_min",
         f"`{value}` AS running_max",
     )
 
@@ -70,7 +76,11 @@ def _bucket(value: str) -> str:
 
     Logarithmic, so that neither the number of buckets (under 12,000 for FLOAT, 91,000 for
     DOUBLE) nor the FLOAT values from 1 up that share one (about 2^17) depends on the data.
-    NULL stays NULL and sorts first; NaN goes last, as Spark orders it.
+    NULL goes to the first bucket and NaN to the last; within a bucket Spark sorts them first
+    and last as well.
     """
     scaled = f"signum({value}) * log1p(abs({value})) * {BUCKETS_PER_UNIT}"
-    return f"CASE WHEN isnan({value}) THEN {LAST_BUCKET}L ELSE floor({scaled}) END"
+    return (
+        f"CASE WHEN {value} IS NULL THEN -{LAST_BUCKET}L WHEN isnan({value}) THEN {LAST_BUCKET}L"
+        f" ELSE greatest(floor({scaled}), -{LAST_BUCKET}L) END"
+    )
