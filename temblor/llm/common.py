@@ -39,8 +39,7 @@ def ascii_lower(text: Column) -> Column:
 
 def alnum_words(text: Column) -> Column:
     """Array of the lower-cased words of ASCII letters, digits and all non-ASCII characters."""
-    cut = F.split(F.regexp_replace(ascii_lower(F.coalesce(text, F.lit(""))), ALNUM_GAP, " "), " ")
-    return F.filter(cut, lambda w: w != "")
+    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), ALNUM_GAP), "")
 
 
 def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:

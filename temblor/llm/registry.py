@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from temblor.llm.decontamination import OP1_SQL, op1_decontamination
 from temblor.llm.packing import op2_packing
+from temblor.llm.quality import op6_quality
+from temblor.llm.simhash import op7_simhash
 from temblor.llm.token_files import op3_token_files
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
     "op3_token_files": op3_token_files,
+    "op6_quality": op6_quality,
+    "op7_simhash": op7_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_decontamination": OP1_SQL,
+}
