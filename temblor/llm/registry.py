@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from temblor.llm.decontamination import OP1_SQL, op1_decontamination
+from temblor.llm.licenses import OP10_SQL, op10_licenses
 from temblor.llm.packing import op2_packing
+from temblor.llm.pii import op9_pii
 from temblor.llm.quality import op6_quality
 from temblor.llm.simhash import op7_simhash
 from temblor.llm.token_files import op3_token_files
@@ -14,8 +16,11 @@ QUERIES = {
     "op3_token_files": op3_token_files,
     "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
+    "op9_pii": op9_pii,
+    "op10_licenses": op10_licenses,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": OP1_SQL,
+    "op10_licenses": OP10_SQL,
 }
