@@ -252,27 +252,54 @@ def labelled_sample(stats: DataFrame, labels: DataFrame, rows: int) -> tuple[np.
     return pdf[list(FEATURES)].to_numpy(np.float64), pdf["good"].to_numpy(np.float64)
 
 
+def fit(stats: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Trees | None:
+    """Trees for the labelled rows of `stats`; None without labels of both classes."""
+    x, y = labelled_sample(stats, labels, sample_rows)
+    fitted = len(y) and 0 < y.mean() < 1
+    return fit_trees(x, y, np.array(list(FEATURES.values()))) if fitted else None
+
+
+def _verdict(features: np.ndarray, words, repeats, trees: Trees | None, keep_from: float):
+    failed = (words < 20) | (100 * repeats > 30 * words)
+    quality = trees.score(features) if trees is not None else np.ones(len(words))
+    return failed, ~failed & (quality >= keep_from), quality
+
+
 def judge(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, keep_from: float = KEEP_FROM) -> DataFrame:
     """Per row of `docs`: the counts, base_failed, kept, and quality (the trees' probability)."""
     stats = materialise(document_statistics(docs), "document-statistics")
-    x, y = labelled_sample(stats, labels, sample_rows)
-    fitted = len(y) and 0 < y.mean() < 1
-    trees = fit_trees(x, y, np.array(list(FEATURES.values()))) if fitted else None
+    trees = fit(stats, labels, sample_rows)
 
     def score(batches):
         for batch in batches:
             features = np.stack([batch.column(f).to_numpy().astype(np.float64) for f in FEATURES], axis=1)
             words, repeats = (batch.column(c).to_numpy() for c in ("n_words", "n_repeat_words"))
-            failed = (words < 20) | (100 * repeats > 30 * words)
-            quality = trees.score(features) if trees is not None else np.ones(len(words))
             columns = [batch.column(c) for c in ("doc_id", *COUNTS)]
-            columns += [pa.array(failed), pa.array(~failed & (quality >= keep_from)), pa.array(quality)]
+            columns += map(pa.array, _verdict(features, words, repeats, trees, keep_from))
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", *COUNTS, "base_failed", "kept", "quality"])
 
     schema = "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", base_failed boolean, kept boolean, quality double"
     return stats.mapInArrow(score, schema)
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, keep_from: float = KEEP_FROM) -> DataFrame:
+    """The rows of `docs` that pass, unchanged; texts are read once for the fit and once to decide."""
+    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select("doc_id").distinct()
+    known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    trees = fit(document_statistics(docs.join(F.broadcast(known), "doc_id", "left_semi")), labels, sample_rows)
+
+    def decide(batches):
+        for batch in batches:
+            for part in slices(batch):
+                stats = statistics(*text_bytes(part.column("text")))
+                # As document_statistics() stores them.
+                features = np.stack([stats[f].astype(np.float32).astype(np.float64) for f in FEATURES], axis=1)
+                kept = _verdict(features, stats["n_words"], stats["n_repeat_words"], trees, keep_from)[1]
+                yield part.filter(pa.array(kept))
+
+    return docs.mapInArrow(decide, docs.schema)
+
+
 def op6_quality(spark, sf_dir: str) -> DataFrame:
     """Counts and verdict for every document."""
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))

@@ -4,11 +4,11 @@ A fingerprint's 64 bits are cut into blocks, and each block gets a threshold so
 fingerprints at `distance` or fewer differing bits agree, within its threshold, in one block at
 least (the thresholds plus one each add up to more than `distance`). The anchors of a block are the
 words of a covering code of that length: the perfect binary Golay code with covering radius 3,
-lengthened by free bits, or all words (radius 0). Every fingerprint has a home, the anchor within
+or the Hamming code with radius 1, lengthened by free bits; or all words (radius 0). Every fingerprint has a home, the anchor within
 the radius; it is replicated to every anchor within radius plus threshold. Two fingerprints that
 agree within the threshold then meet at the home of either, where full distances are compared.
 
-Only distinct fingerprints are compared. Anchors with many rows are cut into tiles (homes x
+Only distinct fingerprints are compared. Wider fingerprints take several words of 64 bits. Anchors with many rows are cut into tiles (homes x
 replicas), so that no task holds more of one than a tile; the number of anchors, and with it of
 tables about them, is fixed by the code. A task emits, for what it finds linked, a spanning forest
 and never all pairs; the forests are joined up by alternating star contraction.
@@ -27,11 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from temblor.llm.common import lower_bytes, materialise, slices, text_bytes
+from temblor.llm.common import lower_bytes, materialise, mix, slices, text_bytes
 
-GOLAY = 0b110001110101  # fixed value: generator polynomial of the binary Golay code of length 23
-# Per block: number of bits, threshold; at least 23 bits take the Golay code, fewer all words.
-BLOCKS = ((26, 1), (26, 1), (12, 0))
+# Length, generator polynomial and covering radius of perfect cyclic codes.
+CODES = ((23, 0b110001110101, 3), (15, 0b10011, 1))  # Golay, Hamming
+# Per block: word of the fingerprint, first bit, number of bits, threshold.
+BLOCKS = ((0, 0, 26, 1), (0, 26, 26, 1), (0, 52, 12, 0))
+# For pairs that agree in about 85 of 100 bits (0.8 of their shingles): twelve of three words.
+WIDE_WORDS, WIDE_DISTANCE = 4, 46
+WIDE_BLOCKS = tuple((w, 15 * k, 15, 1) for w in range(3) for k in range(4))
 TILE_ROWS = 4096
 
 
@@ -55,8 +59,15 @@ def fingerprint_bits(hashes: np.ndarray, rows: np.ndarray, n_rows: int) -> np.nd
     return out
 
 
-def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
-    """doc_id and the fingerprint (as a signed long) of every row of `docs` (doc_id, text)."""
+def _words(n: int) -> list[str]:
+    return [f"bits_{k}" for k in range(n)]
+
+
+def fingerprints(docs: DataFrame, words: int = 4, width: int = 1) -> DataFrame:
+    """`docs` with its fingerprint for (doc_id, text), as signed longs bits_0, bits_1 and so on.
+
+    The first is made of the shingles' hashes, further ones of these hashes mixed again.
+    """
 
     def compute(batches):
         from xxhash import xxh64_intdigest
@@ -81,82 +92,89 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
                     hashes.append(np.array(got, np.uint64))
                 rows = np.repeat(np.arange(part.num_rows), counts)
                 all_hashes = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-                prints = fingerprint_bits(all_hashes, rows, part.num_rows)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(prints.view(np.int64))], ["doc_id", "fingerprint"]
-                )
+                columns = [part.column("doc_id"), part.column("text_hash")]
+                for k in range(width):
+                    again = mix(all_hashes + np.uint64(k)) if k else all_hashes
+                    columns.append(pa.array(fingerprint_bits(again, rows, part.num_rows).view(np.int64)))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", *_words(width)])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(compute, "doc_id long, fingerprint long")
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+    return rows.mapInArrow(compute, "doc_id long, text_hash long, " + ", ".join(f"{w} long" for w in _words(width)))
 
 
 @lru_cache
-def _golay(radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Remainders of the low 12 and high 11 bits; per remainder, where its errors start; the errors.
+def _code(length: int, generator: int, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Remainders of the low 12 and the high bits; per remainder, where its errors start; the errors.
 
-    An error is a word of at most `radius` bits; one of at most 3 bits exists for each remainder.
+    An error is a word of at most `radius` bits; in a perfect code, one within the covering radius
+    exists for each remainder.
     """
+    degree = generator.bit_length() - 1
 
     def remainder(x: int) -> int:
-        for bit in range(22, 10, -1):
+        for bit in range(length - 1, degree - 1, -1):
             if x >> bit & 1:
-                x ^= GOLAY << (bit - 11)
+                x ^= generator << (bit - degree)
         return x
 
     low = np.array([remainder(x) for x in range(1 << 12)], np.int64)
-    high = np.array([remainder(x << 12) for x in range(1 << 11)], np.int64)
+    high = np.array([remainder(x << 12) for x in range(1 << (length - 12))], np.int64)
     errors = [np.zeros(1, np.int64)]
     for _ in range(radius):
-        more = (errors[-1][:, None] ^ (1 << np.arange(23))).reshape(-1)
+        more = (errors[-1][:, None] ^ (1 << np.arange(length))).reshape(-1)
         errors.append(np.unique(more[np.bitwise_count(more) == np.bitwise_count(errors[-1][0]) + 1]))
     every = np.concatenate(errors)
     of = low[every & 0xFFF] ^ high[every >> 12]
     order = np.lexsort((np.bitwise_count(every), of))
-    starts = np.searchsorted(of[order], np.arange((1 << 11) + 1))
+    starts = np.searchsorted(of[order], np.arange((1 << degree) + 1))
     return low, high, starts, every[order]
 
 
 def anchors(values: np.ndarray, bits: int, threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Every (index of value, anchor) within radius plus threshold, and whether it is the home."""
     n = len(values)
-    if bits < 23:
-        flips = [f for f in range(1 << bits) if f.bit_count() <= threshold] if threshold else [0]
-        who = np.repeat(np.arange(n), len(flips))
-        flip = np.tile(np.array(flips, np.int64), n)
+    code = next((c for c in CODES if c[0] <= bits), None)
+    if code is None:
+        flips = np.array([f for f in range(1 << bits) if f.bit_count() <= threshold], np.int64)
+        who, flip = np.repeat(np.arange(n), len(flips)), np.tile(flips, n)
         return who, values[who] ^ flip, flip == 0
+    length, generator, radius = code
     out = []
-    for free in range(1 << (bits - 23)):
+    for free in range(1 << (bits - length)):
         if free.bit_count() > threshold:
             continue
-        low, high, starts, errors = _golay(3 + threshold - free.bit_count())
-        word = values & 0x7FFFFF
+        low, high, starts, errors = _code(length, generator, radius + threshold - free.bit_count())
+        word = values & ((1 << length) - 1)
         of = low[word & 0xFFF] ^ high[word >> 12]
         count = starts[of + 1] - starts[of]
         who = np.repeat(np.arange(n), count)
         place = np.arange(len(who)) - np.repeat(np.cumsum(count) - count, count)
         error = errors[starts[of[who]] + place]
-        home = (np.bitwise_count(error) <= 3) & (free == 0)
-        out.append((who, values[who] ^ error ^ (free << 23), home))
+        home = (np.bitwise_count(error) <= radius) & (free == 0)
+        out.append((who, values[who] ^ error ^ (free << length), home))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def replicas(prints: DataFrame, blocks=BLOCKS) -> DataFrame:
-    """anchor, fingerprint, home: one row per anchor that a distinct fingerprint goes to."""
+    """anchor, node, bits, home: one row per anchor that a fingerprint goes to."""
+    names = prints.columns[1:]
 
     def spread(batches):
         for batch in batches:
-            values = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            shift = 0
-            for number, (bits, threshold) in enumerate(blocks):
-                cut = ((values >> np.uint64(shift)) & np.uint64((1 << bits) - 1)).astype(np.int64)
-                who, anchor, home = anchors(cut, bits, threshold)
-                shift += bits
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(number << 32 | anchor), pa.array(values[who].view(np.int64)), pa.array(home)],
-                    ["anchor", "fingerprint", "home"],
-                )
+            node = batch.column(0).to_numpy(zero_copy_only=False)
+            values = [batch.column(w).to_numpy(zero_copy_only=False).view(np.uint64) for w in names]
+            for number, (word, shift, bits, threshold) in enumerate(blocks):
+                cut = ((values[word] >> np.uint64(shift)) & np.uint64((1 << bits) - 1)).astype(np.int64)
+                for at in range(0, len(cut), 4096):
+                    who, anchor, home = anchors(cut[at : at + 4096], bits, threshold)
+                    who = who + at
+                    columns = [pa.array(number << 32 | anchor), pa.array(node[who])]
+                    columns += [pa.array(v[who].view(np.int64)) for v in values] + [pa.array(home)]
+                    yield pa.RecordBatch.from_arrays(columns, ["anchor", "node", *names, "home"])
 
-    return prints.select("fingerprint").mapInArrow(spread, "anchor long, fingerprint long, home boolean")
+    longs = ", ".join(f"{w} long" for w in names)
+    return prints.mapInArrow(spread, f"anchor long, node long, {longs}, home boolean")
 
 
 class _Forest:
@@ -179,25 +197,24 @@ class _Forest:
         self.parent[roots] = roots.min()
 
 
-def links(prints: DataFrame, distance: int = 4, blocks=BLOCKS, tile_rows: int = TILE_ROWS) -> DataFrame:
-    """A forest over the distinct fingerprints `prints`: rows (upper, lower) of linked ones."""
-    assert sum(b for b, _ in blocks) == 64 and sum(t + 1 for _, t in blocks) > distance
+def links(prints: DataFrame, distance: int, blocks=BLOCKS, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """A forest over the nodes of `prints` (node, bits_0, ...): rows (upper, lower) of linked ones."""
+    names = prints.columns[1:]
     rows = materialise(replicas(prints, blocks), "anchors")
     counts = rows.groupBy("anchor").agg(F.count("*").alias("n"), F.count_if("home").alias("homes"))
     hot = counts.where(F.col("n") > tile_rows).select(
         "anchor",
-        F.ceil(F.col("homes") / tile_rows).cast("int").alias("across"),
+        F.greatest(F.ceil(F.col("homes") / tile_rows), F.lit(1)).cast("int").alias("across"),
         F.ceil(F.col("n") / tile_rows).cast("int").alias("down"),
     )
-    # As many rows as the codes have words, at most.
-    cut = rows.join(F.broadcast(hot), "anchor", "left")
-    one = F.lit(1)
-    x = F.pmod(F.xxhash64("fingerprint"), F.coalesce("across", one)).cast("int")
-    y = F.pmod(F.xxhash64("fingerprint", F.lit(1)), F.coalesce("down", one)).cast("int")
-    every_x = F.sequence(F.lit(0), F.coalesce("across", one) - 1)
-    every_y = F.sequence(F.lit(0), F.coalesce("down", one) - 1)
-    as_home = cut.where("home").select("anchor", x.alias("x"), F.explode(every_y).alias("y"), "fingerprint", F.lit(True).alias("home"))
-    as_other = cut.where((F.coalesce("across", one)) > 0).select("anchor", F.explode(every_x).alias("x"), y.alias("y"), "fingerprint", F.lit(False).alias("home"))
+    # As many rows as the blocks' codes have words, at most.
+    cut = rows.join(F.broadcast(hot), "anchor", "left").fillna(1, ["across", "down"])
+    x = F.pmod(F.xxhash64("node"), F.col("across")).cast("int").alias("x")
+    y = F.pmod(F.xxhash64("node", F.lit(1)), F.col("down")).cast("int").alias("y")
+    every_x = F.explode(F.sequence(F.lit(0), F.col("across") - 1)).alias("x")
+    every_y = F.explode(F.sequence(F.lit(0), F.col("down") - 1)).alias("y")
+    as_home = cut.where("home").select("anchor", x, every_y, "node", *names, F.lit(True).alias("home"))
+    as_other = cut.select("anchor", every_x, y, "node", *names, F.lit(False).alias("home"))
     tiles = as_home.unionByName(as_other)
 
     def compare(batches):
@@ -205,32 +222,29 @@ def links(prints: DataFrame, distance: int = 4, blocks=BLOCKS, tile_rows: int =
         if not tables:
             return
         table = pa.concat_tables(tables)
-        key, x, y, value, home = (table.column(k).to_numpy() for k in ("anchor", "x", "y", "fingerprint", "home"))
-        value = value.view(np.uint64)
-        names, index = np.unique(value, return_inverse=True)
+        key, x, y, node, home = (table.column(k).to_numpy() for k in ("anchor", "x", "y", "node", "home"))
+        values = [table.column(w).to_numpy().view(np.uint64) for w in names]
+        nodes, index = np.unique(node, return_inverse=True)
         order = np.lexsort((~home, y, x, key))
-        key, x, y, value, home, index = (v[order] for v in (key, x, y, value, home, index))
+        key, x, y, home, index, *values = (v[order] for v in (key, x, y, home, index, *values))
         edge = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])])
-        forest = _Forest(len(names))
+        forest = _Forest(len(nodes))
         for lo, hi in zip(edge.tolist(), [*edge[1:].tolist(), len(key)]):
             mid = lo + int(home[lo:hi].sum())
             if mid == lo or mid == hi:
                 continue
-            for at in range(lo, mid, step := max(1, (1 << 21) // (hi - mid))):
+            others = index[mid:hi]
+            for at in range(lo, mid, step := max(1, (1 << 20) // (hi - mid))):
                 to = min(at + step, mid)
-                near = np.bitwise_count(value[at:to, None] ^ value[None, mid:hi]) <= distance
-                for k in np.flatnonzero(near.sum(axis=1) > 1):
-                    forest.join(index[mid:hi][near[k]])
-                for k in np.flatnonzero(near.any(axis=1)):
-                    forest.join(np.r_[index[at + k], index[mid:hi][near[k]][:1]])
-        roots = forest.roots(np.arange(len(names)))
-        out = np.flatnonzero(roots != np.arange(len(names)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names[out].view(np.int64)), pa.array(names[roots[out]].view(np.int64))], ["upper", "lower"]
-        )
+                apart = sum(np.bitwise_count(v[at:to, None] ^ v[None, mid:hi]).astype(np.uint16) for v in values)
+                near = (apart <= distance) & (index[at:to, None] != others[None, :])
+                for k in np.flatnonzero(near.any(axis=1)).tolist():
+                    forest.join(np.r_[index[at + k], others[near[k]]])
+        roots = forest.roots(np.arange(len(nodes)))
+        out = np.flatnonzero(roots != np.arange(len(nodes)))
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[out]), pa.array(nodes[roots[out]])], ["upper", "lower"])
 
-    keys = ["anchor", "x", "y"]
-    return tiles.repartition(*keys).mapInArrow(compare, "upper long, lower long").where("upper <> lower")
+    return tiles.repartition("anchor", "x", "y").mapInArrow(compare, "upper long, lower long")
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -258,20 +272,43 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"not joined up after {most_rounds} rounds")
 
 
-def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4, blocks=BLOCKS) -> DataFrame:
-    """Per row of `docs`: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id)."""
-    prints = materialise(fingerprints(docs, words), "fingerprints")
-    distinct = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
-    roots = components(links(distinct, distance, blocks))
-    rooted = distinct.join(roots, distinct["fingerprint"] == roots["node"], "left").select(
-        "fingerprint", F.coalesce("root", "fingerprint").alias("root"), "least"
-    )
+def near_duplicates(
+    docs: DataFrame, words: int = 4, distance: int = 4, blocks=BLOCKS, width: int = 1
+) -> DataFrame:
+    """Per row of `docs`: doc_id, text_hash, bits_0 and so on, component, component_id (smallest doc_id).
+
+    The blocks' thresholds must add up so that no pair within `distance` misses all of them; with
+    `WIDE_BLOCKS` that holds but for a few in a hundred of the pairs that share 0.8 of their shingles.
+    """
+    names = _words(width)
+    node = F.col("bits_0") if width == 1 else F.xxhash64(*names)
+    prints = materialise(fingerprints(docs, words, width).withColumn("node", node), "fingerprints")
+    least = prints.groupBy("node").agg(F.min("doc_id").alias("least"), *(F.min(w).alias(w) for w in names))
+    roots = components(links(least.select("node", *names), distance, blocks))
+    rooted = least.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least")
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.select("fingerprint", "root").join(smallest, "root").select("fingerprint", "component_id")
-    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
-    return prints.join(named, "fingerprint").select("doc_id", digits.alias("fingerprint"), "component_id")
+    named = rooted.select("node", "root").join(smallest, "root").select("node", F.col("root").alias("component"), "component_id")
+    return prints.join(named, "node").select("doc_id", "text_hash", *names, "component", "component_id")
+
+
+def keep_one_of_each(docs: DataFrame, words: int = 5) -> DataFrame:
+    """`docs` with one row of each group of near copies: that with the smallest doc_id, null last.
+
+    Near copies share about 0.8 or more of their shingles of `words` words, as estimated from wide
+    fingerprints. Of equal rows one stays.
+    """
+    found = near_duplicates(docs, words, WIDE_DISTANCE, WIDE_BLOCKS, WIDE_WORDS)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
+    chosen = found.groupBy("component").agg(first).select("first.doc_id", "first.text_hash")
+    names = docs.columns
+    keyed = docs.withColumn("__text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    same = keyed["doc_id"].cast("long").eqNullSafe(chosen["doc_id"]) & (keyed["__text_hash"] == chosen["text_hash"])
+    kept = keyed.join(chosen, same, "left_semi")
+    return kept.dropDuplicates(["doc_id", "__text_hash"]).select(*names)
 
 
 def op7_simhash(spark, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents."""
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    found = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    digits = F.lower(F.lpad(F.hex("bits_0"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")

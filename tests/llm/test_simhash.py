@@ -41,7 +41,8 @@ def brute_groups(prints, distance=4):
 def test_documents_against_brute_force(documents, spark):
     base = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu " * 3
     rows = [*ODD, (20, base), (21, base + "nu"), (22, "xi " + base), (23, "entirely different words stand in here now")]
-    got = sorted(map(tuple, simhash.near_duplicates(documents(*rows)).collect()), key=str)
+    got = [(r.doc_id, f"{r.bits_0 & (1 << 64) - 1:016x}", r.component_id) for r in simhash.near_duplicates(documents(*rows)).collect()]
+    got.sort(key=str)
     prints = [(i, brute_print(t)) for i, t in rows]
     want = [(i, f"{p:016x}", c) for (i, p), c in zip(prints, brute_groups(prints))]
     assert got == sorted(want, key=str)
@@ -49,7 +50,7 @@ def test_documents_against_brute_force(documents, spark):
 
 def test_every_close_pair_meets_at_a_home():
     rng = np.random.default_rng(5)
-    for bits, threshold in simhash.BLOCKS:
+    for _, _, bits, threshold in (*simhash.BLOCKS, simhash.WIDE_BLOCKS[0], (0, 0, 18, 2)):
         x = rng.integers(0, 1 << bits, 3000)
         y = x.copy()
         for _ in range(threshold):
@@ -74,7 +75,8 @@ def test_links_against_brute_force_with_and_without_tiles(spark, tile_rows):
             values.add(s)
     values = sorted(values)
     signed = [(v - (1 << 64) if v >> 63 else v,) for v in values]
-    edges = simhash.links(spark.createDataFrame(signed, "fingerprint long"), tile_rows=tile_rows)
+    prints = spark.createDataFrame([s * 2 for s in signed], "node long, bits_0 long")
+    edges = simhash.links(prints, 4, tile_rows=tile_rows)
     root = {r.node: r.root for r in simhash.components(edges).collect()}
     got = Counter(frozenset(g) for g in _classes({s[0]: root.get(s[0], s[0]) for s in signed}))
     want = brute_groups(list(enumerate(values)))
@@ -94,5 +96,31 @@ def test_chain_and_star_components(spark):
     assert got == {k: 0 for k in range(1, 201)} | {k: 1000 for k in range(1001, 1300)}
 
 
+def test_one_of_each_group_of_near_copies_stays(documents):
+    import random
+
+    random.seed(8)
+
+    def text(n):
+        return [random.choice("the of and".split()) if random.random() < 0.4 else f"w{random.randrange(9**6)}" for _ in range(n)]
+
+    rows, groups = [(9000, None), (9001, ""), (None, "x y z"), (None, "x y z")], 60
+    for g in range(groups):
+        own = text(random.choice([60, 200, 900]))
+        rows.append((100 * g, " ".join(own)))
+        for k in range(1, 4):
+            changed = list(own)
+            for at in random.sample(range(len(own)), max(1, len(own) // 60)):
+                changed[at] = f"new{random.randrange(9**6)}"
+            rows.append((100 * g + k, " ".join(changed)))
+    docs = documents(*rows)
+    kept = simhash.keep_one_of_each(docs)
+    assert kept.columns == docs.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert len(ids) == len(set(ids)) and {100 * g for g in range(groups)} <= set(ids)
+    assert 9000 in ids and 9001 not in ids and ids.count(None) == 1
+    assert sum(i is not None and i % 100 != 0 for i in ids) <= 0.02 * 3 * groups + 1
+
+
 def test_empty_table(documents):
     assert simhash.near_duplicates(documents((1, "x")).where("false")).count() == 0
