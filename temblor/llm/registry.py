@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from temblor.llm.decontamination import OP1_SQL, op1_decontamination
 from temblor.llm.licenses import OP10_SQL, op10_licenses
+from temblor.llm.ngrams import op5_language_model
 from temblor.llm.packing import op2_packing
 from temblor.llm.pii import op9_pii
 from temblor.llm.quality import op6_quality
+from temblor.llm.repeats import op8_repeats
 from temblor.llm.simhash import op7_simhash
 from temblor.llm.token_files import op3_token_files
 
@@ -14,8 +16,10 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
     "op3_token_files": op3_token_files,
+    "op5_language_model": op5_language_model,
     "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
+    "op8_repeats": op8_repeats,
     "op9_pii": op9_pii,
     "op10_licenses": op10_licenses,
 }
