@@ -8,6 +8,7 @@ from temblor.llm.ngrams import op5_language_model
 from temblor.llm.packing import op2_packing
 from temblor.llm.pii import op9_pii
 from temblor.llm.quality import op6_quality
+from temblor.llm.quotes import op4_quotations
 from temblor.llm.repeats import op8_repeats
 from temblor.llm.simhash import op7_simhash
 from temblor.llm.token_files import op3_token_files
@@ -16,6 +17,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
     "op3_token_files": op3_token_files,
+    "op4_quotations": op4_quotations,
     "op5_language_model": op5_language_model,
     "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
