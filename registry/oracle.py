@@ -84,14 +84,14 @@ _AFTER_CTE: dict[str, str] = {
     from quakes group by state
     """,
     "ratio_gt3_per_state": """
-    select state, count(*) as total_earthquakes,
-      cast(sum(case when magnitude > 3 then 1 else 0 end) as bigint) as earthquakes_gt_3,
+    select state, count(*) as total_quakes,
+      cast(sum(case when magnitude > 3 then 1 else 0 end) as bigint) as quakes_gt_3,
       sum(case when magnitude > 3 then 1 else 0 end) / count(*) as ratio_gt_3
     from quakes group by state
     """,
     "yearly_tsunami_share": """
-    select cast(year(date) as int) as year, count(*) as total_earthquakes,
-      cast(sum(case when tsunami = 1 then 1 else 0 end) as bigint) as earthquakes_with_tsunami,
+    select cast(year(date) as int) as year, count(*) as total_quakes,
+      cast(sum(case when tsunami = 1 then 1 else 0 end) as bigint) as quakes_with_tsunami,
       sum(case when tsunami = 1 then 1 else 0 end) / count(*) * 100 as percentage_with_tsunami
     from quakes group by 1
     """,
@@ -161,7 +161,7 @@ _AFTER_CTE: dict[str, str] = {
     "parse_quakes": "select * from messages",
     "stream_all": "select * from messages",
     "stream_avg_magnitude": _window(30, "avg(magnitude) as avg_magnitude"),
-    "stream_count_gt3": _window(60, "count(*) as num_earthquakes_mag_gt3", "magnitude > 3.0"),
+    "stream_count_gt3": _window(60, "count(*) as num_quakes_mag_gt3", "magnitude > 3.0"),
     "stream_equator_max": _window(
         300, "max(magnitude) as max_magnitude", "latitude >= -5 and latitude <= 5"
     ),

@@ -1,3 +1,3 @@
-"""Spark-native analytics for earthquakes and other geo-located events."""
+"""Spark-native analytics for quakes and other geo-located events."""
 
 __version__ = "0.1.0"

@@ -26,9 +26,17 @@ STREAM_DEFAULTS = {
 }
 
 
-def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the defaults above; `conf` entries override them."""
+def build_session(
+    app_name: str, master: str | None = None, hive: bool = False, **conf: str
+) -> SparkSession:
+    """A session with the defaults above; `conf` entries override them.
+
+    `hive` keeps the catalog in the metastore that the cluster is configured with; without it,
+    table names are forgotten when the session ends, and tables live on by their path alone.
+    """
     builder = SparkSession.builder.appName(app_name)
+    if hive:
+        builder = builder.enableHiveSupport()
     if master:
         builder = builder.master(master)
     for key, value in {**SESSION_DEFAULTS, **conf}.items():
@@ -73,7 +81,7 @@ class JdbcTarget:
     url: str
     driver: str = "org.postgresql.Driver"
     user: str | None = None
-    password: str | None = None
+    password: str | None = field(default=None, repr=False)
     max_connections: int = 16
     batch_size: int = 10_000
     extra: Mapping[str, str] = field(default_factory=dict)

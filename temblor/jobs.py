@@ -11,7 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from temblor import plans, streaming
-from temblor.config import JdbcTarget, KafkaTopic, build_session
+from temblor.config import (
+    STREAM_DEFAULTS,
+    JdbcTarget,
+    KafkaTopic,
+    build_session,
+    session_conf,
+)
 from temblor.sinks import (
     debug_console,
     file_batch_sink,
@@ -60,11 +66,22 @@ def run_batch(
         write(query(quakes), name)
 
 
+@dataclass(frozen=True)
+class Limits:
+    """What streams may drop: rows later than `delay`, pairs more than `join_bound` seconds apart.
+
+    None drops nothing, and keeps all state.
+    """
+
+    delay: str | None
+    join_bound: int | None
+
+
 @dataclass(frozen=True)
 class StreamJob:
     """One streaming result: how to build it, and when and how it is written."""
 
-    build: Callable[[DataFrame, DataFrame], DataFrame]
+    build: Callable[[DataFrame, DataFrame, "Limits"], DataFrame]
     mode: str
     every: str
 
@@ -72,20 +89,22 @@ class StreamJob:
 # The first stream carries 15-minute slices, the second 300-minute slices.
 STREAM_JOBS: dict[str, StreamJob] = {
     "stream_avg_magnitude": StreamJob(
-        lambda a, b: streaming.stream_avg_magnitude(a), "update", "60 seconds"
+        lambda a, b, x: streaming.stream_avg_magnitude(a, delay=x.delay), "update", "60 seconds"
     ),
-    "stream_all": StreamJob(lambda a, b: streaming.stream_all(a), "append", "30 seconds"),
+    "stream_all": StreamJob(lambda a, b, x: streaming.stream_all(a), "append", "30 seconds"),
     "stream_equator_max": StreamJob(
-        lambda a, b: streaming.stream_equator_max(b), "update", "30 seconds"
+        lambda a, b, x: streaming.stream_equator_max(b, delay=x.delay), "update", "30 seconds"
     ),
     "stream_equator_count_gt4": StreamJob(
-        lambda a, b: streaming.stream_equator_count_gt4(b), "update", "30 seconds"
+        lambda a, b, x: streaming.stream_equator_count_gt4(b, delay=x.delay), "update", "30 seconds"
     ),
     "stream_location_join": StreamJob(
-        lambda a, b: streaming.stream_location_join(a, b), "append", "30 seconds"
+        lambda a, b, x: streaming.stream_location_join(a, b, x.join_bound, x.delay),
+        "append",
+        "30 seconds",
     ),
     "stream_count_gt3": StreamJob(
-        lambda a, b: streaming.stream_count_gt3(a), "update", "120 seconds"
+        lambda a, b, x: streaming.stream_count_gt3(a, delay=x.delay), "update", "120 seconds"
     ),
 }
 
@@ -95,6 +114,7 @@ def run_streams(
     second: DataFrame,
     sink_for: Callable[[str], BatchSink],
     checkpoint_root: str,
+    limits: Limits,
     continuous: bool = True,
     debug: bool = False,
     state_partitions: int | None = None,
@@ -111,7 +131,7 @@ def run_streams(
     )
     queries = [
         streaming.start_changelog(
-            job.build(a, b),
+            job.build(a, b, limits),
             sink_for(name),
             name,
             f"{checkpoint_root.rstrip('/')}/{name}",
@@ -123,22 +143,26 @@ def run_streams(
     ]
     if debug:
         raw = first.select(first["value"].cast("string"))
-        queries += [
-            debug_console(df, mode).start()
-            for df, mode in (
-                (streaming.stream_location_join(a, b), "append"),
-                (raw, "append"),
-                (b, "append"),
-                (streaming.stream_avg_magnitude(a), "complete"),
-                (streaming.stream_count_gt3(a), "complete"),
-            )
-        ]
+        shown = {
+            "join": (STREAM_JOBS["stream_location_join"].build(a, b, limits), "append"),
+            "raw": (raw, "append"),
+            "second": (b, "append"),
+            "average": (streaming.stream_avg_magnitude(a), "complete"),
+            "count": (streaming.stream_count_gt3(a), "complete"),
+        }
+        with session_conf(first.sparkSession, STREAM_DEFAULTS):
+            queries += [
+                debug_console(df, mode)
+                .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/debug_{name}")
+                .start()
+                for name, (df, mode) in shown.items()
+            ]
     return queries
 
 
 def main(argv: list[str] | None = None) -> None:
     args = _arguments().parse_args(argv)
-    spark = build_session(f"temblor-{args.program}")
+    spark = build_session(f"temblor-{args.program}", hive=args.hive)
     target = None
     if args.jdbc_url:
         target = JdbcTarget(
@@ -146,19 +170,18 @@ def main(argv: list[str] | None = None) -> None:
             args.jdbc_driver,
             os.environ.get("TEMBLOR_JDBC_USER"),
             os.environ.get("TEMBLOR_JDBC_PASSWORD"),
+            args.jdbc_connections,
         )
     out = args.output.rstrip("/") if args.output else None
 
     if args.program == "batch":
-        if target:
-            run_batch(spark, args.csv, lambda df, name: write_jdbc(df, target, name), args.table)
-        else:
-            run_batch(
-                spark,
-                args.csv,
-                lambda df, name: df.write.mode("overwrite").parquet(f"{out}/{name}"),
-                args.table,
-            )
+        table_path = args.table_path or (f"{out}/{args.table}" if out else None)
+        write = (
+            (lambda df, name: write_jdbc(df, target, name))
+            if target
+            else (lambda df, name: df.write.mode("overwrite").parquet(f"{out}/{name}"))
+        )
+        run_batch(spark, args.csv, write, args.table, table_path)
         return
 
     sink_for = (
@@ -175,22 +198,38 @@ def main(argv: list[str] | None = None) -> None:
         second,
         sink_for,
         args.checkpoints,
+        Limits(args.delay, args.join_bound),
         debug=args.debug,
         state_partitions=args.state_partitions,
     )
     streaming.await_all(spark, queries)
 
 
+def _or_none(kind: Callable[[str], object]) -> Callable[[str], object]:
+    return lambda text: None if text == "none" else kind(text)
+
+
 def _arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="python -m temblor.jobs")
     programs = parser.add_subparsers(dest="program", required=True)
     batch = programs.add_parser("batch", help="clean a CSV file and answer the batch questions")
     batch.add_argument("--csv", required=True)
     batch.add_argument("--table", default=CLEAN_TABLE)
+    batch.add_argument(
+        "--table-path",
+        help="where the table lies; by default under --output. Without a path, a later run can "
+        "only replace the table if the catalog still knows it (--hive)",
+    )
     stream = programs.add_parser("stream", help="process two topics until stopped")
     stream.add_argument("--first", required=True, metavar="BROKERS/TOPIC")
     stream.add_argument("--second", required=True, metavar="BROKERS/TOPIC")
     stream.add_argument("--checkpoints", required=True, help="folder on shared storage")
+    stream.add_argument(
+        "--delay", required=True, type=_or_none(str), help="e.g. '6 hours'; none drops no row"
+    )
+    stream.add_argument(
+        "--join-bound", required=True, type=_or_none(int), help="seconds; none joins all pairs"
+    )
     stream.add_argument("--state-partitions", type=int, help="fixed once a checkpoint exists")
     stream.add_argument("--debug", action="store_true", help="also show results on the console")
     for program in (batch, stream):
@@ -198,6 +237,10 @@ def _arguments() -> argparse.ArgumentParser:
         sink.add_argument("--jdbc-url", help="user and password: TEMBLOR_JDBC_USER, _PASSWORD")
         sink.add_argument("--output", help="folder for parquet results")
         program.add_argument("--jdbc-driver", default="org.postgresql.Driver")
+        program.add_argument(
+            "--jdbc-connections", type=int, default=16, help="tasks that write at the same time"
+        )
+        program.add_argument("--hive", action="store_true", help="use the cluster's metastore")
     return parser
 
 

@@ -1,11 +1,13 @@
-from temblor.operators.latest import drop_repeats, latest_view
+from temblor.operators.latest import compacted, drop_repeats, latest_view
 from temblor.operators.proximity import proximity_join, within_reach
 from temblor.operators.running import running_profile
-from temblor.operators.skew import tile_hot_keys
+from temblor.operators.skew import merge_copies, tile_hot_keys
 
 __all__ = [
+    "compacted",
     "drop_repeats",
     "latest_view",
+    "merge_copies",
     "proximity_join",
     "running_profile",
     "tile_hot_keys",

@@ -25,6 +25,16 @@ def latest_view(
     An update-mode stream writes a row each time a window changes; this is the table those
     writes amount to. A batch written twice carries the same values twice and has no effect.
     """
+    return compacted(changelog, keys, order).drop(order)
+
+
+def compacted(
+    changelog: DataFrame, keys: Sequence[str] = ("start", "end"), order: str = "batch_id"
+) -> DataFrame:
+    """The changelog without rows that were replaced; write it in place of the batches it covers.
+
+    One aggregate per column, so that fixed-width values are aggregated by hash.
+    """
     values = [c for c in changelog.columns if c not in (*keys, order)]
-    newest = changelog.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col(order)).alias("row"))
-    return newest.select(*keys, "row.*")
+    newest = [F.max_by(c, order).alias(c) for c in values]
+    return changelog.groupBy(*keys).agg(*newest, F.max(order).alias(order))

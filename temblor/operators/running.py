@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS_PER_UNIT = 64
-LAST_BUCKET = 2**63 - 1
+from temblor.config import shared_dir
+
+TARGET_ROWS = 500_000
 SUMS = ("n", "known", "total")
 
 
-def running_profile(df: DataFrame, key: str, value: str) -> DataFrame:
+def running_profile(
+    df: DataFrame, key: str, value: str, target_rows: int = TARGET_ROWS
+) -> DataFrame:
     """Per (`key`, distinct `value`): count, average, least and greatest value up to it.
 
     Equals the ordered window `PARTITION BY key ORDER BY value RANGE UNBOUNDED PRECEDING`
@@ -19,23 +22,15 @@ def running_profile(df: DataFrame, key: str, value: str) -> DataFrame:
     running_max.
 
     That window would sort every row of a hot key in one task. Here peers are first merged by an
-    ordinary grouping, then summed up within (key, value bucket), and each bucket adds the totals
-    of the buckets below it. Only one row per bucket is ever gathered per key, and the buckets of
-    a key are bounded in number by the range of the type (see `_bucket`).
+    ordinary grouping; the merged rows are dealt out by ranges of (key, value) whose limits come
+    from the data, so that a range holds about `target_rows` of them at most; sums run within each
+    range of a key, and each adds the totals of the key's ranges below it. Only one row per range
+    is ever gathered per key.
+
+    The merged rows are written to the shared folder twice: to be counted, and with the number of
+    their range, on which both uses of it must agree.
     """
-    merged = df.groupBy(key, value).agg(
-        F.expr("count(*) AS n"),
-        F.expr(f"count(`{value}`) AS known"),
-        F.expr(f"coalesce(sum(CAST(`{value}` AS DOUBLE)), 0D) AS total"),
-    )
-    # Inside a struct a NULL key equals itself, so one partitioning by group and bucket serves the
-    # window, the bucket totals and the join with what lies below.
-    peers = merged.selectExpr(
-        f"named_struct('key', `{key}`) AS grp",
-        f"`{value}`",
-        f"{_bucket(f'`{value}`')} AS bucket",
-        *SUMS,
-    )
+    peers = value_ranges(df, key, value, target_rows)
     # Merged peers are unique within the key, so a row frame equals the range frame.
     within = f"(PARTITION BY grp, bucket ORDER BY `{value}` ROWS UNBOUNDED PRECEDING)"
     local = peers.selectExpr(
@@ -71,16 +66,26 @@ def running_profile(df: DataFrame, key: str, value: str) -> DataFrame:
     )
 
 
-def _bucket(value: str) -> str:
-    """A bucket number that never decreases as the value grows.
-
-    Logarithmic, so that neither the number of buckets (under 12,000 for FLOAT, 91,000 for
-    DOUBLE) nor the FLOAT values from 1 up that share one (about 2^17) depends on the data.
-    NULL goes to the first bucket and NaN to the last; within a bucket Spark sorts them first
-    and last as well.
-    """
-    scaled = f"signum({value}) * log1p(abs({value})) * {BUCKETS_PER_UNIT}"
-    return (
-        f"CASE WHEN {value} IS NULL THEN -{LAST_BUCKET}L WHEN isnan({value}) THEN {LAST_BUCKET}L"
-        f" ELSE greatest(floor({scaled}), -{LAST_BUCKET}L) END"
+def value_ranges(df: DataFrame, key: str, value: str, target_rows: int) -> DataFrame:
+    """grp, value, sums of its peers, and bucket: the number of the range that it is in."""
+    merged = df.groupBy(key, value).agg(
+        F.expr("count(*) AS n"),
+        F.expr(f"count(`{value}`) AS known"),
+        F.expr(f"coalesce(sum(CAST(`{value}` AS DOUBLE)), 0D) AS total"),
     )
+    # Inside a struct a NULL key equals itself, so one partitioning by group and range serves the
+    # window, the range totals and the join with what lies below.
+    merged = _written(merged.selectExpr(f"named_struct('key', `{key}`) AS grp", f"`{value}`", *SUMS))
+    # Limits are estimated from samples; aiming at half the target leaves room for that.
+    ranges = max(1, -(-2 * merged.count() // target_rows))
+    return _written(
+        merged.repartitionByRange(int(ranges), "grp", value).selectExpr(
+            "*", "spark_partition_id() AS bucket"
+        )
+    )
+
+
+def _written(df: DataFrame) -> DataFrame:
+    path = shared_dir(df.sparkSession, "running")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,12 +11,7 @@ TILES = ("tile_left", "tile_right")
 
 
 def tile_hot_keys(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    hot_rows: int,
-    max_hot_keys: int = 65_536,
-    cut_left: bool = True,
+    left: DataFrame, right: DataFrame, keys: Sequence[str], hot_rows: int
 ) -> tuple[DataFrame, DataFrame]:
     """Give both sides two extra join columns that cut a hot key into a matrix of tiles.
 
@@ -24,42 +19,39 @@ def tile_hot_keys(
     and the right rows into ceil(r / hot_rows); each left row is repeated once per right strip
     and the other way round, so every (left, right) pair meets in exactly one tile of about
     hot_rows x hot_rows. Keys that are not hot get the single tile (0, 0). The strip is a hash of
-    the row, the same at every attempt of a task; exact copies of a row share theirs, so remove
-    copies first where there may be many.
+    the row, the same at every attempt of a task; exact copies of a row share theirs, so merge
+    copies first (`merge_copies`).
 
-    The table of hot keys is broadcast. It has at most `max_hot_keys` rows: the largest keys
-    are taken first and a key left out is joined unsplit, which changes the plan and not the
-    result. A key left out holds less than 1/max_hot_keys of all rows, since max_hot_keys
-    others are at least as large. Both inputs must be repeatable: counts are exact and the order is total, so the two sides
-    agree on the strips even if the table is computed twice.
-
-    Without `cut_left` only right rows are counted and cut, which spares planning and running
-    the left side once more.
+    Every key over `hot_rows` is cut, however many there are. The table of hot keys is joined by
+    key like any other; Spark broadcasts it where it turns out to be small. Both inputs must be
+    repeatable: counts are exact, so the two sides agree on the strips even if the table is
+    computed twice.
     """
     names = [f"`{key}`" for key in keys]
     counted = right.selectExpr(*names, "0 AS l", "1 AS r")
-    if cut_left:
-        counted = counted.union(left.selectExpr(*names, "1 AS l", "0 AS r"))
-    sizes = counted.groupBy(*names).agg(F.expr("sum(l) AS l"), F.expr("sum(r) AS r"))
+    counted = counted.union(left.selectExpr(*names, "1 AS l", "0 AS r"))
     hot = (
-        sizes.selectExpr(
+        counted.groupBy(*names)
+        .agg(F.expr("sum(l) AS l"), F.expr("sum(r) AS r"))
+        .where(f"greatest(l, r) > {hot_rows}")
+        .selectExpr(
             *names,
-            "greatest(l, r) AS largest",
             f"ceil(l / {hot_rows}) AS left_strips",
             f"ceil(r / {hot_rows}) AS right_strips",
         )
-        .where(f"largest > {hot_rows}")
-        .orderBy(F.desc("largest"), *names)
-        .limit(max_hot_keys)
-        .drop("largest")
     )
-    hot = F.broadcast(hot)
     return (
         _cut(left, hot, list(keys), own="left", other="right"),
         _cut(right, hot, list(keys), own="right", other="left"),
     )
 
 
+def merge_copies(df: DataFrame, count: str) -> DataFrame:
+    """One row of each kind, with the number of its copies in a column `count`."""
+    columns = [f"`{name}`" for name in df.columns]
+    return df.groupBy(*columns).agg(F.count("*").alias(count))
+
+
 def _cut(df: DataFrame, hot: DataFrame, keys: list[str], own: str, other: str) -> DataFrame:
     columns = [f"`{name}`" for name in df.columns]
     # A key may be hot on one side and absent from the other: that is one strip, not none.

@@ -10,18 +10,16 @@ from pyspark.sql import functions as F
 from temblor.functions import count_where, hemisphere, in_band, in_period, ratio
 from temblor.operators import proximity_join, running_profile, within_reach
 
-TIE_SEED = 7
-
-
 def tsunami_by_significance(df: DataFrame) -> DataFrame:
     """Events that raised a tsunami, most significant first (NULL significance last).
 
     The sort is total and distributed. Rows of equal significance come in no particular order;
-    the seeded tie-break lets the range partitioning spread one hot value over many tasks.
+    the tie-break by a hash of the row lets the range partitioning spread one hot value over many
+    tasks, and is the same however the input is partitioned.
     """
     return (
         df.where("tsunami <> 0")
-        .withColumn("_tie", F.rand(TIE_SEED))
+        .withColumn("_tie", F.xxhash64(*[f"`{name}`" for name in df.columns]))
         .orderBy(F.col("significance").desc(), "_tie")
         .drop("_tie")
     )
@@ -78,10 +76,10 @@ def ratio_gt3_per_state(df: DataFrame, threshold: float = 3) -> DataFrame:
     return (
         df.groupBy("state")
         .agg(
-            F.count("*").alias("total_earthquakes"),
-            count_where(F.col("magnitude") > threshold).alias("earthquakes_gt_3"),
+            F.count("*").alias("total_quakes"),
+            count_where(F.col("magnitude") > threshold).alias("quakes_gt_3"),
         )
-        .withColumn("ratio_gt_3", F.col("earthquakes_gt_3") / F.col("total_earthquakes"))
+        .withColumn("ratio_gt_3", F.col("quakes_gt_3") / F.col("total_quakes"))
     )
 
 
@@ -90,12 +88,12 @@ def yearly_tsunami_share(df: DataFrame) -> DataFrame:
     return (
         df.groupBy(F.year("date").alias("year"))
         .agg(
-            F.count("*").alias("total_earthquakes"),
-            count_where(F.col("tsunami") == 1).alias("earthquakes_with_tsunami"),
+            F.count("*").alias("total_quakes"),
+            count_where(F.col("tsunami") == 1).alias("quakes_with_tsunami"),
         )
         .withColumn(
             "percentage_with_tsunami",
-            F.col("earthquakes_with_tsunami") / F.col("total_earthquakes") * 100,
+            F.col("quakes_with_tsunami") / F.col("total_quakes") * 100,
         )
     )
 
@@ -230,7 +228,6 @@ def _largest_around_main(
         direction,
         suffixes=SIDES,
         equal=("top", "magnitude"),
-        cut_left=False,
     )
 
 

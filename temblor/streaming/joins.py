@@ -5,26 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from temblor.streaming.windows import DELAY
-
-BOUND_SECONDS = 5 * 3600
-
 
 def stream_location_join(
     a: DataFrame,
     b: DataFrame,
-    bound_seconds: int | None = BOUND_SECONDS,
-    delay: str = DELAY,
+    bound_seconds: int | None = None,
+    delay: str | None = None,
 ) -> DataFrame:
     """Events of two streams reported at the same location; a NULL location matches nothing.
 
-    Matches lie at most `bound_seconds` apart. The bound is what lets Spark forget old rows, and
-    it also splits a busy location: the join key is the location and a time bucket at least
+    Matches lie at most `bound_seconds` apart. The bound, with `delay`, is what lets Spark forget
+    old rows, and it also splits a busy location: the join key is the location and a time bucket at least
     twice as wide as the bound, so that a row of the first stream looks in one or two buckets and
     a row of the second is in one.
 
-    With `bound_seconds=None` all pairs at a location match, whatever their times; Spark then
-    keeps every row ever seen. Streams parsed with an origin give `origin1` and `origin2` as well.
+    With `bound_seconds=None`, by default, all pairs at a location match, whatever their times;
+    Spark then keeps every row ever seen, as it does without a `delay`. Streams parsed with an origin give `origin1` and `origin2` as well.
     """
     carried = ["magnitude", "time", *["origin"] * ("origin" in a.columns)]
     first, second = (
@@ -38,13 +34,13 @@ def stream_location_join(
     # Moments are rounded down to seconds here, hence the extra second.
     reach = bound_seconds + 1
     low, high = (_bucket(F.unix_timestamp("time1") + shift, reach) for shift in (-reach, reach))
-    first = first.withWatermark("time1", delay).select(
+    if delay:
+        first, second = first.withWatermark("time1", delay), second.withWatermark("time2", delay)
+    first = first.select(
         "*",
         F.explode(F.when(low == high, F.array(low)).otherwise(F.array(low, high))).alias("bucket"),
     )
-    second = second.withWatermark("time2", delay).withColumn(
-        "bucket", _bucket(F.unix_timestamp("time2"), reach)
-    )
+    second = second.withColumn("bucket", _bucket(F.unix_timestamp("time2"), reach))
     interval = F.expr(f"INTERVAL {int(bound_seconds)} SECONDS")
     near = (F.col("time2") >= F.col("time1") - interval) & (
         F.col("time2") <= F.col("time1") + interval

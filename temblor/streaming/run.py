@@ -35,8 +35,9 @@ def start_changelog(
     settings = dict(STREAM_DEFAULTS)
     if state_partitions:
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)
-    if not every:
-        # A closing batch without rows would only evict state, which the next run does as well.
+    if not every and mode == "update":
+        # A closing batch without rows would only evict state, which the next run does as well. In
+        # append mode it brings out the windows that have closed.
         settings["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
     # A query takes these settings over when it starts.
     with session_conf(df.sparkSession, settings):

@@ -1,8 +1,9 @@
 """Event-time tumbling windows over parsed messages.
 
 Each function takes and returns a DataFrame and works on bounded input as well. `delay` is how
-late a row may be and bounds the state kept; it has to exceed the longest replayed slice, here
-300 minutes. Windows are aligned to the epoch. Rows without a time belong to no window.
+late a row may be: with it, state is bounded and rows that come later are dropped; with None, by
+default, none is dropped and all windows are kept. It should exceed the longest replayed slice.
+Windows are aligned to the epoch. Rows without a time belong to no window.
 """
 
 from __future__ import annotations
@@ -12,26 +13,23 @@ from pyspark.sql import functions as F
 
 from temblor.functions import in_band
 
-DELAY = "6 hours"
-
-
 def stream_avg_magnitude(
-    df: DataFrame, window: str = "30 minutes", delay: str = DELAY
+    df: DataFrame, window: str = "30 minutes", delay: str | None = None
 ) -> DataFrame:
     """Mean magnitude per window."""
     return _tumbling(df, None, window, delay, avg_magnitude=F.avg("magnitude"))
 
 
 def stream_count_gt3(
-    df: DataFrame, window: str = "60 minutes", threshold: float = 3.0, delay: str = DELAY
+    df: DataFrame, window: str = "60 minutes", threshold: float = 3.0, delay: str | None = None
 ) -> DataFrame:
     """Events above `threshold` per window."""
     strong = F.col("magnitude") > threshold
-    return _tumbling(df, strong, window, delay, num_earthquakes_mag_gt3=F.count("*"))
+    return _tumbling(df, strong, window, delay, num_quakes_mag_gt3=F.count("*"))
 
 
 def stream_equator_max(
-    df: DataFrame, window: str = "300 minutes", band: float = 5, delay: str = DELAY
+    df: DataFrame, window: str = "300 minutes", band: float = 5, delay: str | None = None
 ) -> DataFrame:
     """Top magnitude near the equator per window."""
     near = in_band(F.col("latitude"), band)
@@ -43,7 +41,7 @@ def stream_equator_count_gt4(
     window: str = "300 minutes",
     band: float = 5,
     threshold: float = 4.0,
-    delay: str = DELAY,
+    delay: str | None = None,
 ) -> DataFrame:
     """Events near the equator above `threshold` per window."""
     near_and_strong = in_band(F.col("latitude"), band) & (F.col("magnitude") > threshold)
@@ -56,10 +54,10 @@ def stream_all(df: DataFrame) -> DataFrame:
 
 
 def _tumbling(
-    df: DataFrame, condition: Column | None, window: str, delay: str, **aggregate: Column
+    df: DataFrame, condition: Column | None, window: str, delay: str | None, **aggregate: Column
 ) -> DataFrame:
     """The watermark is set before filtering: rows that are filtered out still advance it."""
-    timed = df.withWatermark("time", delay)
+    timed = df.withWatermark("time", delay) if delay else df
     kept = timed if condition is None else timed.where(condition)
     return (
         kept.groupBy(F.window("time", window))

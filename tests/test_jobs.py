@@ -29,6 +29,18 @@ def test_batch_program_writes_every_result(spark, folder):
     assert spark.table("batch_program_quakes").count() == 1000
 
 
+def test_batch_program_runs_again_without_the_catalog(spark, folder):
+    """A later session doesn't know the table; dropping it leaves its files, as the end of one does."""
+    csv = shared_dir(spark, "csv")
+    tables.raw_quakes(spark, SMALL).limit(200).write.csv(csv, header=True)
+    results = []
+    for _ in range(2):
+        jobs.main(["batch", "--csv", csv, "--output", folder, "--table", "quakes_again"])
+        results.append(rows(spark.read.parquet(f"{folder}/state_frequency")))
+        spark.sql("DROP TABLE quakes_again")
+    assert results[0] == results[1] and results[0]
+
+
 def test_stream_program_writes_every_result(spark, folder):
     inbox = shared_dir(spark, "inbox")
     tables.messages(spark, SMALL).write.text(inbox)
@@ -37,6 +49,7 @@ def test_stream_program_writes_every_result(spark, folder):
         read_text_stream(spark, inbox),
         lambda name: file_batch_sink(f"{folder}/{name}"),
         shared_dir(spark, "checkpoints"),
+        jobs.Limits(delay="6 hours", join_bound=5 * 3600),
         continuous=False,
     )
     assert len(queries) == 6
@@ -72,8 +85,9 @@ def test_arguments():
     assert (args.program, args.csv, args.output, args.jdbc_url) == ("batch", "in.csv", "out", None)
     args = parse(
         ["stream", "--first", "k1:1,k2:2/a", "--second", "k:1/b", "--checkpoints", "c",
-         "--jdbc-url", "jdbc:x", "--debug"]
+         "--jdbc-url", "jdbc:x", "--debug", "--delay", "none", "--join-bound", "900"]
     )
+    assert (args.delay, args.join_bound, args.jdbc_connections) == (None, 900, 16)
     assert args.first.rsplit("/", 1) == ["k1:1,k2:2", "a"] and args.debug
     with pytest.raises(SystemExit):
         parse(["batch", "--csv", "in.csv"])

@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 
 from temblor.config import session_conf
 from temblor.operators import (
+    compacted,
     latest_view,
+    merge_copies,
     proximity_join,
     running_profile,
     tile_hot_keys,
     within_reach,
 )
+from temblor.operators.running import value_ranges
 from tests.conftest import plan_text, rows
 
 
@@ -123,12 +126,26 @@ def test_one_hot_cell_is_spread_over_many_tiles(spark):
     assert paired.select("a", "b").distinct().count() == plain.count()
 
 
-def test_only_right_rows_are_cut_on_request(spark):
-    left = spark.range(400).select("id", F.lit(0).alias("k"))
-    right = spark.range(900).select("id", F.lit(0).alias("k"))
-    a, b = tile_hot_keys(left, right, ["k"], hot_rows=100, cut_left=False)
-    assert a.count() == 400 * 9 and a.select("tile_left").distinct().count() == 1
-    assert b.count() == 900 and b.select("tile_right").distinct().count() == 9
+def test_a_hot_left_side_is_cut_as_well(spark):
+    left = spark.range(3000).select("id", F.lit(0).alias("k"))
+    right = spark.range(10).select("id", F.lit(0).alias("k"))
+    a, b = tile_hot_keys(left, right, ["k"], hot_rows=100)
+    strips = [r[1] for r in a.groupBy("tile_left").count().collect()]
+    assert len(strips) == 30 and max(strips) < 200
+    assert b.count() == 10 * 30
+
+
+def test_copies_are_merged_before_and_dealt_out_after_the_join(spark):
+    """3,000 copies a side make one pair of rows, not a tile of 3,000 x 3,000."""
+    one = spark.range(3000).select(
+        F.lit(1.0).alias("latitude"), F.lit(2.0).alias("longitude"),
+        F.timestamp_seconds(F.lit(1000)).alias("date"), F.lit("p").alias("place"),
+    )
+    other = one.limit(400).withColumn("date", F.timestamp_seconds(F.lit(1060)))
+    pairs = proximity_join(one, other, hot_rows=100)
+    assert pairs.count() == 3000 * 400
+    merged = merge_copies(one, "copies")
+    assert merged.collect()[0]["copies"] == 3000 and merged.count() == 1
 
 
 def test_a_key_hot_on_one_side_only(spark):
@@ -139,10 +156,10 @@ def test_a_key_hot_on_one_side_only(spark):
     assert a.select("tile_left").distinct().count() > 5
 
 
-def test_more_hot_keys_than_the_table_may_hold(spark):
+def test_every_hot_key_is_cut(spark):
     left = spark.range(1000).select("id", (F.col("id") % 20).alias("k"))
-    a, b = tile_hot_keys(left, left, ["k"], hot_rows=10, max_hot_keys=3)
-    assert a.where("tile_right > 0").select("k").distinct().count() == 3
+    a, b = tile_hot_keys(left, left, ["k"], hot_rows=10)
+    assert a.where("tile_right > 0").select("k").distinct().count() == 20
     pairs = a.join(b.withColumnRenamed("id", "id2"), ["k", "tile_left", "tile_right"])
     assert pairs.count() == 20 * 50 * 50
 
@@ -166,11 +183,8 @@ def test_proximity_join_with_an_equal_column(spark):
     pairs = rows(_theta(left, right, 0.3, 900, "both"))
     expected = [p for p in pairs if p[0] % 3 == p[1] % 3]
     assert expected
-    for cut_left in (True, False):
-        found = proximity_join(
-            a, b, 0.3, 900, equal=("x", "y"), hot_rows=2, cut_left=cut_left
-        )
-        assert rows(found.select("id_left", "id_right")) == expected
+    found = proximity_join(a, b, 0.3, 900, equal=("x", "y"), hot_rows=2)
+    assert rows(found.select("id_left", "id_right")) == expected
 
 
 @pytest.mark.parametrize("kind", ["float", "double", "int"])
@@ -201,7 +215,8 @@ def test_running_profile_equals_the_ordered_window(spark, kind):
         F.min("v").over(window).alias("lo"),
         F.max("v").over(window).alias("hi"),
     ).dropDuplicates()
-    assert _as_text(running_profile(df, "k", "v")) == _as_text(expected)
+    for target_rows in (500_000, 60):
+        assert _as_text(running_profile(df, "k", "v", target_rows)) == _as_text(expected)
 
 
 def _as_text(df) -> list[str]:
@@ -210,6 +225,13 @@ def _as_text(df) -> list[str]:
     return sorted({str(tuple(r)) for r in df.select(df.columns[0], *number).collect()})
 
 
+@pytest.mark.parametrize("value", ["10 + id / 2e6", "CAST(id / 2e7 AS FLOAT)"])
+def test_no_range_of_close_values_exceeds_the_target(spark, value):
+    df = spark.range(200_000).selectExpr("'hot' AS k", f"{value} AS v")
+    sizes = [r[0] for r in value_ranges(df, "k", "v", 20_000).groupBy("grp", "bucket").count().select("count").collect()]
+    assert sum(sizes) == df.select("v").distinct().count() and max(sizes) <= 20_000
+
+
 def test_running_profile_gathers_one_row_per_bucket_and_key(spark):
     """The window over a whole key sees bucket totals; rows are only sorted within a bucket."""
     df = spark.range(50_000).select(
