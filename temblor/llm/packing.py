@@ -26,6 +26,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, seque
 _STATE = ", task long, fill long"
 OPEN_SEQUENCES = 256
 TASKS_AGAIN = 64
+REMEMBERED = 150_000  # words per generation; a worker keeps them for its later tasks
 
 
 class BestFit:
@@ -87,7 +88,7 @@ def pack(
         from pyspark import TaskContext
 
         task = TaskContext.get().partitionId()
-        coder, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        coder, end = encoder(tokenizer, REMEMBERED), np.array([end_id], "<u4").tobytes()
         out, number = [], 0
 
         def close(space, sequence, again=-1):

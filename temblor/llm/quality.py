@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from temblor.llm.common import materialise, mix, run_hashes, slices, space_words, text_bytes
 
 SAMPLE_ROWS = 20_000
+SLICE_BYTES = 1 << 20
 KEEP_FROM = 0.5
 WINDOW = 8
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -137,7 +138,7 @@ def document_statistics(docs: DataFrame) -> DataFrame:
 
     def compute(batches):
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, SLICE_BYTES):
                 stats = statistics(*text_bytes(part.column("text")))
                 columns = [part.column("doc_id")]
                 columns += [pa.array(stats[c].astype(np.int64)) for c in COUNTS]
@@ -290,7 +291,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS
 
     def decide(batches):
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, SLICE_BYTES):
                 stats = statistics(*text_bytes(part.column("text")))
                 # As document_statistics() stores them.
                 features = np.stack([stats[f].astype(np.float32).astype(np.float64) for f in FEATURES], axis=1)

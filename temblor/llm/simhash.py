@@ -37,6 +37,7 @@ BLOCKS = ((0, 0, 26, 1), (0, 26, 26, 1), (0, 52, 12, 0))
 WIDE_WORDS, WIDE_DISTANCE = 4, 46
 WIDE_BLOCKS = tuple((w, 15 * k, 15, 1) for w in range(3) for k in range(4))
 TILE_ROWS = 4096
+SLICE_BYTES = 2 << 20
 
 
 def fingerprint_bits(hashes: np.ndarray, rows: np.ndarray, n_rows: int) -> np.ndarray:
@@ -73,7 +74,7 @@ def fingerprints(docs: DataFrame, words: int = 4, width: int = 1) -> DataFrame:
         from xxhash import xxh64_intdigest
 
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, SLICE_BYTES):
                 data, offsets = text_bytes(part.column("text"))
                 raw = lower_bytes(data).tobytes()
                 hashes, counts = [], np.zeros(part.num_rows, np.int64)

@@ -2,7 +2,7 @@
 
 The library's BPE works on each pre-token by itself, so a text's ids are those of its pre-tokens in
 a row. Texts are cut at spaces, the pieces' ids are remembered, and the library's model encodes
-what was not met yet. Memory is bounded: two generations of at most `GENERATION` remembered pieces.
+what was not met yet. Memory is bounded: two generations of remembered words and pieces each.
 """
 
 from __future__ import annotations
@@ -17,15 +17,15 @@ GENERATION = 400_000
 class _Remembered(dict):
     """Ids by piece, as little-endian unsigned 32-bit bytes; the older half is dropped when full."""
 
-    def __init__(self, make):
+    def __init__(self, make, most: int):
         super().__init__()
-        self.make, self.older = make, {}
+        self.make, self.most, self.older = make, most, {}
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
         if ids is None:
             ids = self.make(piece)
-        if len(self) >= GENERATION:
+        if len(self) >= self.most:
             self.older = dict(self)
             self.clear()
         self[piece] = ids
@@ -39,7 +39,7 @@ class TextEncoder:
     strings of special tokens are ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = GENERATION):
         import regex
         from tokenizers import Tokenizer
 
@@ -54,8 +54,8 @@ class TextEncoder:
         self._cut = regex.compile(pattern).findall
         self._run = regex.compile(r"\s (?:\s|$)").search
         self._bytes = _byte_letters()
-        self._words = _Remembered(self._encode_word)
-        self._pieces = _Remembered(self._encode_piece)
+        self._words = _Remembered(self._encode_word, remembered)
+        self._pieces = _Remembered(self._encode_piece, remembered)
 
     def _encode_word(self, word: str) -> bytes:
         if word.isascii() and word[1:].isalpha():
@@ -106,8 +106,8 @@ def _byte_letters() -> dict[int, str]:
 _ENCODERS: dict[str, TextEncoder] = {}
 
 
-def encoder(path: str) -> TextEncoder:
-    """One encoder per Python worker."""
+def encoder(path: str, remembered: int = GENERATION) -> TextEncoder:
+    """One encoder per vocabulary and Python worker."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = TextEncoder(path)
+        _ENCODERS[path] = TextEncoder(path, remembered)
     return _ENCODERS[path]
