@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from registry.tables import QUAKES_SQL
+from registry.tables import PARTS, QUAKES_SQL
 
 _CLEAN = """
 select epoch_ms(date_trunc('milliseconds', date)) as time, place, event_type as status, tsunami,
@@ -116,6 +116,20 @@ _AFTER_CTE: dict[str, str] = {
       and abs(cast(floor(epoch(a.date)) as bigint) - cast(floor(epoch(b.date)) as bigint)) <= 900
     where year(a.date) = 2024 and month(a.date) = 1
     """,
+    "event_pairs_stored_date": """
+    select distinct
+      case when a.ts < b.ts then a.place else b.place end as place1,
+      case when a.ts < b.ts then b.place else a.place end as place2,
+      least(a.ts, b.ts) as date1, greatest(a.ts, b.ts) as date2,
+      case when a.ts < b.ts then a.magnitude else b.magnitude end as magnitude1,
+      case when a.ts < b.ts then b.magnitude else a.magnitude end as magnitude2
+    from quakes a join quakes b
+      on a.latitude - b.latitude between -0.1 and 0.1
+      and a.longitude - b.longitude between -0.1 and 0.1
+      and a.ts <> b.ts
+      and abs(cast(floor(epoch(a.ts)) as bigint) - cast(floor(epoch(b.ts)) as bigint)) <= 900
+    where year(a.ts) = 2024 and month(a.ts) = 1
+    """,
     "equator_monthly_average": """
     select state, cast(sum(n) as bigint) as total_occurrences,
       sum(n) / 12 as average_occurrences_per_month
@@ -127,6 +141,10 @@ _AFTER_CTE: dict[str, str] = {
     select latitude, longitude, depth, magnitude from quakes
     where year(date) = 2024 and month(date) = 1 and day(date) = 2
     """,
+    "events_on_stored_day": """
+    select latitude, longitude, depth, magnitude from quakes
+    where year(ts) = 2024 and month(ts) = 1 and day(ts) = 2
+    """,
     "largest_aftershock": _shocks("aftershock", largest=True),
     "foreshock_pairs": _shocks("foreshock", largest=False),
     "largest_foreshock": _shocks("foreshock", largest=True),
@@ -138,6 +156,14 @@ _AFTER_CTE: dict[str, str] = {
       and a.date <> b.date
       and abs(cast(floor(epoch(a.date)) as bigint) - cast(floor(epoch(b.date)) as bigint)) <= 900
     """,
+    "proximity_join_float": """
+    select a.event_id as event_id_left, b.event_id as event_id_right
+    from float_quakes a join float_quakes b
+      on cast(a.latitude - b.latitude as double) between -0.1::double and 0.1::double
+      and cast(a.longitude - b.longitude as double) between -0.1::double and 0.1::double
+      and a.date <> b.date
+      and abs(cast(floor(epoch(a.date)) as bigint) - cast(floor(epoch(b.date)) as bigint)) <= 900
+    """,
     "read_quakes_csv": """
     select epoch_ms(date_trunc('milliseconds', date)) as time, place, event_type as status, cast(tsunami as float) as tsunami,
       significance, cast(magnitude as float) as magnitude, state,
@@ -162,6 +188,22 @@ _AFTER_CTE: dict[str, str] = {
     "stream_all": "select * from messages",
     "stream_avg_magnitude": _window(30, "avg(magnitude) as avg_magnitude"),
     "stream_count_gt3": _window(60, "count(*) as num_quakes_mag_gt3", "magnitude > 3.0"),
+    "stream_count_gt3_in_order": _window(
+        60, "count(*) as num_quakes_mag_gt3", "magnitude > 3.0"
+    ),
+    "stream_count_gt3_late": f"""
+    , span as (select epoch_ms(min(ts)) as low, epoch_ms(max(ts)) as high from events)
+    select time_bucket(interval '60 minutes', date_trunc('milliseconds', ts), timestamp '1970-01-01') as start,
+      time_bucket(interval '60 minutes', date_trunc('milliseconds', ts), timestamp '1970-01-01')
+        + interval '60 minutes' as "end", count(*) as num_quakes_mag_gt3
+    from quakes, span
+    where magnitude > 3.0
+      and not ((epoch_ms(ts) - low) * {PARTS} < high - low + 1 and event_id % 10 = 0)
+    group by 1, 2
+    """,
+    "stream_published_slices": _window(
+        300, "max(magnitude) as max_magnitude", "latitude >= -5 and latitude <= 5"
+    ),
     "stream_equator_max": _window(
         300, "max(magnitude) as max_magnitude", "latitude >= -5 and latitude <= 5"
     ),

@@ -31,10 +31,10 @@ DAY = datetime(2024, 1, 2)
 JOIN_SECONDS = 15 * 60
 
 
-def _batch(plan: Callable[..., DataFrame], **parameters) -> Query:
+def _batch(plan: Callable[..., DataFrame], table=tables.quakes, **parameters) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         # `ts` and the untidied columns belong to the test table, not to the cleaned one.
-        quakes = tables.quakes(spark, sf_dir).drop("ts", "event_type", "raw_state")
+        quakes = table(spark, sf_dir).drop("ts", "event_type", "raw_state")
         return plan(quakes, **parameters)
 
     return query
@@ -83,6 +83,36 @@ def _proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proximity_join(events, events).select("event_id_left", "event_id_right")
 
 
+def _proximity_float(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = tables.float_quakes(spark, sf_dir)
+    return proximity_join(events, events).select("event_id_left", "event_id_right")
+
+
+def _in_order(late: bool) -> Query:
+    """Windows over files that come in order of time, a file per batch.
+
+    The watermark lies a part of the table's span back, so that windows are closed on the way.
+    """
+
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = shared_dir(spark, "in-order")
+        tables.write_in_order(spark, sf_dir, path, late)
+        low, high = tables.replay_span(spark, sf_dir)
+        delay = f"{(high - low) // 1000 // tables.PARTS + 3600} seconds"
+        parsed = streaming.parse_quakes(read_text_stream(spark, path, files_per_batch=1))
+        return streaming.stream_count_gt3(parsed, delay=delay)
+
+    return _stream(build, latest=True, mode="update")
+
+
+def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GeoJSON documents, flattened, sliced and published as files, then read as a stream."""
+    path = shared_dir(spark, "published")
+    write_slices(replay_slices(_flattened(spark, sf_dir), 300, column="time"), path)
+    parsed = streaming.parse_quakes(read_text_stream(spark, path))
+    return streaming.stream_equator_max(parsed, delay=tables.replay_delay(spark, sf_dir))
+
+
 def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "raw-csv")
     raw = tables.raw_quakes(spark, sf_dir).withColumn("date", F.col("date").cast("string"))
@@ -156,7 +186,10 @@ QUERIES: dict[str, Query] = {
     "largest_aftershock": _batch(plans.largest_aftershock),
     "foreshock_pairs": _batch(plans.foreshock_pairs),
     "largest_foreshock": _batch(plans.largest_foreshock),
+    "event_pairs_stored_date": _batch(plans.event_pairs, tables.quakes_by_ts, **PERIOD),
+    "events_on_stored_day": _batch(plans.events_on_day, tables.quakes_by_ts, day=DAY),
     "proximity_join": _proximity,
+    "proximity_join_float": _proximity_float,
     "read_quakes_csv": _csv_roundtrip,
     "read_table": _table_roundtrip,
     "sql_over_table": _sql_over_table,
@@ -169,6 +202,9 @@ QUERIES: dict[str, Query] = {
     "stream_all": _stream(_all_messages, latest=False, mode="append"),
     "stream_avg_magnitude": _windowed(streaming.stream_avg_magnitude),
     "stream_count_gt3": _windowed(streaming.stream_count_gt3),
+    "stream_count_gt3_in_order": _in_order(late=False),
+    "stream_count_gt3_late": _in_order(late=True),
+    "stream_published_slices": _stream(_published, latest=True, mode="update"),
     "stream_equator_max": _windowed(streaming.stream_equator_max),
     "stream_equator_count_gt4": _windowed(streaming.stream_equator_count_gt4),
     "stream_replayed_slices": _stream(_replayed, latest=True, mode="update"),

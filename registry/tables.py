@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+PARTS = 6
+
+
 def quakes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned-table columns, over the whole `events` table."""
     return _quakes(spark.read.parquet(f"{sf_dir}/events.parquet"))
@@ -89,6 +92,44 @@ def replay_delay(spark: SparkSession, sf_dir: str) -> str:
     return f"{(span or 0) + 3600} seconds"
 
 
+def replay_span(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
+    """First and last `ts` in milliseconds."""
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    row = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.min(ms), F.max(ms)).first()
+    return (0, 0) if row[0] is None else (row[0], row[1])
+
+
+def write_in_order(spark: SparkSession, sf_dir: str, path: str, late: bool) -> None:
+    """All messages as text files in order of time: one write for each of PARTS equal spans.
+
+    With `late`, a tenth of the first span's messages are written last.
+    """
+    low, high = replay_span(spark, sf_dir)
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    part = F.floor((ms - low) * PARTS / (high - low + 1))
+    if late:
+        part = F.when((part == 0) & (F.col("event_id") % 10 == 0), PARTS).otherwise(part)
+    events = _quakes(spark.read.parquet(f"{sf_dir}/events.parquet")).withColumn("part", part)
+    for k in range(PARTS + late):
+        messages = events.where(F.col("part") == k).select(F.to_json(F.struct(*_fields())).alias("value"))
+        messages.write.mode("append").text(path)
+
+
+def quakes_by_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned-table columns with a stored column as `date`: limits on it reach the scan."""
+    return quakes(spark, sf_dir).withColumn("date", F.col("ts"))
+
+
+def float_quakes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions as FLOAT in steps of 0.05: differences of 0.1 lie on both sides of it."""
+    return quakes(spark, sf_dir).selectExpr(
+        "event_id",
+        "date",
+        "CAST(floor(latitude) + (event_id % 5) * 0.05D AS FLOAT) AS latitude",
+        "CAST(floor(longitude) + (event_id % 3) * 0.05D AS FLOAT) AS longitude",
+    )
+
+
 def _quakes(events: DataFrame) -> DataFrame:
     sites = events.selectExpr(
         "event_id",
@@ -155,6 +196,11 @@ quakes as (
     event_id, ts, event_type
   from sites
 ),
+float_quakes as (
+  select event_id, date, cast(floor(latitude) + (event_id % 5) * 0.05::double as float) as latitude,
+    cast(floor(longitude) + (event_id % 3) * 0.05::double as float) as longitude
+  from quakes
+),
 messages as (
   select longitude, latitude, depth, place as location, magnitude,
     date_trunc('milliseconds', ts) as time, cast(tsunami as varchar) as tsunami,

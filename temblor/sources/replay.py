@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, TimestampType
 
 
 def replay_slices(
@@ -14,15 +15,21 @@ def replay_slices(
     """Add `slice_id`, the number of the time slice since `t0` that an event belongs to.
 
     A slice includes its start and excludes its end. Events before `t0` belong to no slice and
-    are left out, as are those without a time. `t0` defaults to the hour of the first event.
+    are left out, as are those without a time. `t0` defaults to the full hour (UTC) before the
+    first event, which is looked up as part of the query. `column` is a timestamp, or a number of
+    milliseconds since the epoch as messages have it.
     """
+    kind = df.schema[column].dataType
+    if isinstance(kind, LongType):
+        kind = TimestampType()
+        second = F.floor(F.col(column) / 1000)
+    else:
+        second = F.unix_timestamp(column)
     if t0 is None:
-        t0 = df.agg(F.date_trunc("hour", F.min(column)).alias("t0")).first()["t0"]
-        if t0 is None:
-            return df.where(F.lit(False)).withColumn("slice_id", F.lit(0).cast("bigint"))
-    since = F.unix_timestamp(column) - F.unix_timestamp(
-        F.lit(t0.isoformat(sep=" ")).cast(df.schema[column].dataType)
-    )
+        begin = df.agg(F.floor(F.min(second) / 3600) * 3600).scalar()
+    else:
+        begin = F.unix_timestamp(F.lit(t0.isoformat(sep=" ")).cast(kind))
+    since = second - begin
     return df.withColumn("slice_id", F.floor(since / (slice_minutes * 60))).where("slice_id >= 0")
 
 

@@ -8,7 +8,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from tests.conftest import SMALL, rows
+from registry.oracle import ORACLE_SQL
+from registry.queries import QUERIES
+from registry import tables
+from temblor.config import shared_dir
+from temblor.sinks import file_batch_sink, read_changelog
+from temblor.sources import read_text_stream
+from temblor.streaming import parse_quakes, start_changelog, stream_count_gt3
+from tests.conftest import SMALL, plan_text, rows
 
 # Row counts expected of the test table.
 EXPECTED_ROWS = {
@@ -53,10 +60,17 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE_SQL) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+def test_limits_on_a_stored_date_reach_the_scan(spark):
+    for name in ("event_pairs_stored_date", "events_on_stored_day"):
+        pushed = plan_text(contract.queries()[name](spark, SMALL)).split("PushedFilters")[1].split("\n")[0]
+        assert "GreaterThanOrEqual(ts" in pushed and "LessThan(ts" in pushed
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     df = contract.queries()[name](spark, SMALL)
     oracle = duck.sql(contract.oracle_sql()[name])
@@ -73,6 +87,16 @@ def test_query_equals_sql(spark, duck, name):
     assert len(expected) == EXPECTED_ROWS.get(name, len(expected))
 
 
+def test_files_in_order_of_time_are_batches_of_their_own(spark, folder):
+    tables.write_in_order(spark, SMALL, folder, late=True)
+    parsed = parse_quakes(read_text_stream(spark, folder, files_per_batch=1))
+    out = shared_dir(spark, "changelog")
+    windows = stream_count_gt3(parsed, delay="2 hours")
+    start_changelog(windows, file_batch_sink(out), "in_order", shared_dir(spark, "c")).awaitTermination()
+    changelog = read_changelog(spark, out, windows.schema)
+    assert changelog.select("batch_id").distinct().count() >= tables.PARTS
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() == EXPECTED_ROWS["largest_aftershock"]
 
