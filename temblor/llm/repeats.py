@@ -29,8 +29,10 @@ from temblor.llm.common import materialise, run_hashes, slices, small, text_byte
 LENGTH = 400
 GRAM = 64
 BATCH_WINDOWS = 1 << 15
-TASK_WINDOWS = 1 << 19
-HOT_REGIONS = 2048
+TASK_WINDOWS = 1 << 17  # a task holds each of them as a key of 400 bytes, some three times
+HOT_REGIONS = 512
+SLICE_BYTES = 1 << 20
+CUT_BYTES = 1 << 21
 DOC = ["doc_id", "text_hash"]
 
 
@@ -67,7 +69,7 @@ def regions(docs: DataFrame) -> DataFrame:
 
     def compute(batches):
         for batch in batches:
-            for part in slices(batch, 4 << 20):
+            for part in slices(batch, SLICE_BYTES):
                 yield from _regions(part)
 
     text = F.coalesce("text", F.lit(""))
@@ -80,7 +82,7 @@ def regions(docs: DataFrame) -> DataFrame:
 def _regions(part):
     data, offsets = text_bytes(part.column("text"))
     # Longer texts than the packed place can tell go in overlapping cuts; windows are met once.
-    step = 1 << 23
+    step = CUT_BYTES
     for row in range(part.num_rows) if len(data) > step else [None]:
         lo, hi = (0, part.num_rows) if row is None else (row, row + 1)
         begin, end = offsets[lo], offsets[hi]

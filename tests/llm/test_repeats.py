@@ -41,6 +41,7 @@ def rows_with_repeats():
 @pytest.mark.parametrize("hot", [2048, 3])
 def test_against_brute_force(documents, monkeypatch, hot):
     monkeypatch.setattr(repeats, "BATCH_WINDOWS", 500)
+    monkeypatch.setattr(repeats, "TASK_WINDOWS", 3000)
     rows = rows_with_repeats()
     got = repeats.remove_repeats(documents(*rows), hot_regions=hot).drop("kept").collect()
     assert sorted(map(tuple, got), key=str) == brute(rows)
@@ -53,6 +54,22 @@ def test_real_documents(documents, spark):
     assert sorted(map(tuple, got), key=str) == brute(rows)
 
 
+def test_long_texts_are_cut_with_overlap(monkeypatch):
+    import pyarrow as pa
+
+    random.seed(3)
+    text = "".join(random.choice("abcd ") for _ in range(9000))
+    table = pa.RecordBatch.from_pydict({"doc_id": [7], "text_hash": [1], "text": [text]})
+    monkeypatch.setattr(repeats, "CUT_BYTES", 1500)
+    cut = pa.Table.from_batches(repeats._regions(table)).to_pydict()
+    starts = sorted(s for a, b in zip(cut["first"], cut["last"]) for s in range(a, b + 1))
+    assert starts == list(range(9000 - 400 + 1))
+    monkeypatch.setattr(repeats, "CUT_BYTES", 1 << 20)
+    whole = pa.Table.from_batches(repeats._regions(table)).to_pydict()
+    inner = set(zip(whole["anchor_hash"], whole["region_hash"])) & set(zip(cut["anchor_hash"], cut["region_hash"]))
+    assert len(inner) > 0.7 * len(whole["first"])
+
+
 def test_family_finds_all_and_stays_logarithmic():
     rng = np.random.default_rng(0)
     data = rng.integers(97, 100, 6000).astype(np.uint8)
