@@ -1,4 +1,4 @@
-"""The two runnable programs: the batch report and the stream processor."""
+"""The runnable programs: the batch report, the stream processor, and the publisher of history."""
 
 from __future__ import annotations
 
@@ -23,10 +23,19 @@ from temblor.sinks import (
     file_batch_sink,
     jdbc_batch_sink,
     write_jdbc,
+    write_kafka,
     write_table,
 )
 from temblor.sinks.stream import BatchSink
-from temblor.sources import read_quake_stream, read_quakes_csv, read_table
+from temblor.sources import (
+    flatten_geojson,
+    read_geojson,
+    read_quake_stream,
+    read_quakes_csv,
+    read_table,
+    replay_slices,
+    write_slices,
+)
 
 CLEAN_TABLE = "preprocessed_quakes"
 
@@ -160,9 +169,27 @@ def run_streams(
     return queries
 
 
+def publish(messages: DataFrame, slice_minutes: int, write: Callable[[DataFrame], None]) -> None:
+    """Hand flattened messages to `write` with the number of the time slice they belong to."""
+    write(replay_slices(messages, slice_minutes, column="time"))
+
+
 def main(argv: list[str] | None = None) -> None:
     args = _arguments().parse_args(argv)
     spark = build_session(f"temblor-{args.program}", hive=args.hive)
+    if args.program == "publish":
+        messages = flatten_geojson(read_geojson(spark, args.geojson, args.one_per_file))
+        if args.output:
+            publish(messages, args.slice_minutes, lambda df: write_slices(df, args.output))
+        else:
+            # Sorted by slice and time, as far as partitions of the topic keep an order.
+            topic = KafkaTopic(*args.kafka.rsplit("/", 1))
+            publish(
+                messages,
+                args.slice_minutes,
+                lambda df: write_kafka(df.sort("slice_id", "time").drop("slice_id"), topic),
+            )
+        return
     target = None
     if args.jdbc_url:
         target = JdbcTarget(
@@ -232,6 +259,14 @@ def _arguments() -> argparse.ArgumentParser:
     )
     stream.add_argument("--state-partitions", type=int, help="fixed once a checkpoint exists")
     stream.add_argument("--debug", action="store_true", help="also show results on the console")
+    publisher = programs.add_parser("publish", help="flatten GeoJSON and publish it in time slices")
+    publisher.add_argument("--geojson", required=True)
+    publisher.add_argument("--one-per-file", action="store_true", help="else one document a line")
+    publisher.add_argument("--slice-minutes", type=int, default=15)
+    publisher.add_argument("--hive", action="store_true", help="use the cluster's metastore")
+    to = publisher.add_mutually_exclusive_group(required=True)
+    to.add_argument("--output", help="folder for message files, one folder per slice")
+    to.add_argument("--kafka", metavar="BROKERS/TOPIC")
     for program in (batch, stream):
         sink = program.add_mutually_exclusive_group(required=True)
         sink.add_argument("--jdbc-url", help="user and password: TEMBLOR_JDBC_USER, _PASSWORD")

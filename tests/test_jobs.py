@@ -62,6 +62,15 @@ def test_stream_program_writes_every_result(spark, folder):
     assert spark.read.parquet(f"{folder}/stream_location_join").count() > 1000
 
 
+def test_publish_program_writes_slices(spark, folder):
+    documents = shared_dir(spark, "geojson")
+    tables.documents(spark, SMALL).write.text(documents)
+    jobs.main(["publish", "--geojson", documents, "--slice-minutes", "300", "--output", folder])
+    parsed = parse_quakes(spark.read.text(folder))
+    assert parsed.count() == 2000 and parsed.where("time IS NULL").isEmpty()
+    assert spark.read.text(folder).select("slice_id").distinct().count() > 10
+
+
 def test_a_failing_query_stops_the_others(spark, folder):
     inbox = shared_dir(spark, "inbox")
     tables.messages(spark, SMALL).write.text(inbox)
