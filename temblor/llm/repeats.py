@@ -227,8 +227,8 @@ def repeated_spans(docs: DataFrame, hot_regions: int = HOT_REGIONS) -> DataFrame
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("text_hash"), text.cast("binary").alias("text"))
     needed = small(left.select(*DOC).distinct(), 1_000_000)
-    # Equal rows have equal bytes; one of them is enough.
-    rows = rows.join(needed, _same_doc(rows, needed), "left_semi").dropDuplicates(DOC)
+    # Equal rows fetch their regions more than once. None of these stands alone, so no verdict changes.
+    rows = rows.join(needed, _same_doc(rows, needed), "left_semi")
     bytes_ = F.substring("text", (F.col("first") + 1).cast("int"), (F.col("last") - F.col("first") + LENGTH).cast("int"))
     fetched = left.join(rows, _same_doc(left, rows)).select("anchor_hash", left["doc_id"], left["text_hash"], "first", "alone", "hot", bytes_.alias("bytes"))
 
