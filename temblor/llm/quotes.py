@@ -112,25 +112,28 @@ def replies(found: DataFrame) -> DataFrame:
 def roots(links: DataFrame, most_rounds: int = 64) -> DataFrame:
     """node, root, depth of every row of `links` (node, parent or null), which has no circles.
 
-    Chains are followed by doubling; each round is written to the shared folder.
+    Chains are followed by doubling; each round is written to the shared folder. Only messages that
+    have not reached their root yet take part in the next one. Every parent has to be a node.
     """
-    depth = F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("depth")
-    state = materialise(links.select("node", F.coalesce("parent", "node").alias("up"), depth), "reply-chains")
+    root = F.col("parent").isNull()
+    state = links.select(
+        "node",
+        F.coalesce("parent", "node").alias("up"),
+        F.when(root, 0).otherwise(1).cast("long").alias("depth"),
+        root.alias("done"),
+    )
+    state = materialise(state, "reply-chains")
     for _ in range(most_rounds):
-        above = state.select(F.col("node").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"))
-        further = state.join(above.where("up <> next"), "up", "left")
-        state = materialise(
-            further.select(
-                "node",
-                F.coalesce("next", "up").alias("up"),
-                (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-                F.col("next").isNotNull().alias("moved"),
-            ),
-            "reply-chains",
-        )
-        if state.where("moved").isEmpty():
+        going = state.where("NOT done")
+        if going.isEmpty():
             return state.select("node", F.col("up").alias("root"), "depth")
-        state = state.drop("moved")
+        above = state.select(
+            F.col("node").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"), F.col("done").alias("there")
+        )
+        further = going.join(above, "up").select(
+            "node", F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), F.col("there").alias("done")
+        )
+        state = materialise(state.where("done").unionByName(further), "reply-chains")
     raise RuntimeError(f"replies not followed up after {most_rounds} rounds")
 
 
