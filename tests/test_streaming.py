@@ -236,7 +236,7 @@ def test_a_busy_location_is_spread_over_the_join_key(spark):
     joined = stream_location_join(times, times, 900)
     keys = times.select(_bucket(F.unix_timestamp("time"), 901).alias("bucket")).distinct()
     assert keys.count() > 1000
-    assert re.search(r"Join \[location#\d+, bucket#", plan_text(joined, "simple"))
+    assert re.search(r"Join \[.*bucket#", plan_text(joined, "simple"))
     assert joined.count() == 5000 * 3 - 2
 
 
