@@ -26,7 +26,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, seque
 _STATE = ", task long, fill long"
 OPEN_SEQUENCES = 256
 TASKS_AGAIN = 64
-REMEMBERED = 150_000  # words per generation; a worker keeps them for its later tasks
+REMEMBERED = 150_000  # words per generation, within a task
 
 
 class BestFit:
@@ -114,6 +114,7 @@ def pack(
         for space, sequence in bins.rest():
             close(space, sequence, again=task)
         yield _batch(out)
+        coder.forget()
 
     packed = materialise(rows.mapInArrow(first, PIECES + _STATE), "packed")
 

@@ -84,6 +84,12 @@ class TextEncoder:
     def _join(self, words: list[str]) -> bytes:
         return b"".join(map(self._words.__getitem__, words))
 
+    def forget(self) -> None:
+        """Free what is remembered, for whatever the worker does next."""
+        for remembered in (self._words, self._pieces):
+            remembered.clear()
+            remembered.older = {}
+
     def encode(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         if not text:
