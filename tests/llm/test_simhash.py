@@ -122,5 +122,40 @@ def test_one_of_each_group_of_near_copies_stays(documents):
     assert sum(i is not None and i % 100 != 0 for i in ids) <= 0.02 * 3 * groups + 1
 
 
+def test_near_copies_are_those_that_share_enough_shingles(documents):
+    """Pairs just above 0.8 go, pairs at 0.70 to 0.79 stay, however their fingerprints fall out."""
+    import random
+
+    random.seed(12)
+    rows, want = [], {}
+    for g in range(150):
+        size = random.choice([104, 204])
+        own = [f"v{random.randrange(9**7)}" for _ in range(size)]
+        shingles = size - 4
+        # The last words are others: as many shingles are lost on either side.
+        lost = (shingles // 9) if g % 2 else random.randint(int(0.13 * shingles), int(0.17 * shingles))
+        other = own[: size - lost] + [f"u{random.randrange(9**7)}" for _ in range(lost)]
+        share = (shingles - lost) / (shingles + lost)
+        assert share >= 0.8 if g % 2 else 0.7 <= share < 0.79
+        rows += [(10 * g, " ".join(own)), (10 * g + 1, " ".join(other))]
+        want[10 * g + 1] = share < 0.8
+    # A shingle that recurs counts once.
+    rows += [(5000, "a b c d e " * 40 + "one two three four five six"), (5001, "a b c d e " * 40 + "ten elf owl fox cat dog")]
+    kept = {r.doc_id for r in simhash.keep_one_of_each(documents(*rows)).collect()}
+    assert {i for i in want if i in kept} == {i for i, stays in want.items() if stays}
+    assert all(10 * g in kept for g in range(150)) and {5000, 5001} <= kept
+
+
+def test_a_star_of_many_partners_and_pairs_of_different_groups(spark, documents):
+    own = [f"w{k}" for k in range(200)]
+    rows = [(0, " ".join(own))] + [(k, " ".join([*own[: k % 190], f"x{k}", *own[k % 190 + 1 :]])) for k in range(1, 200)]
+    docs = documents(*rows)
+    prints = simhash.set_prints(docs, 5)
+    node = {r.doc_id: r.node for r in prints.collect()}
+    pairs = spark.createDataFrame([(node[0], node[k]) for k in range(1, 200)], "a long, b long")
+    assert simhash.alike(docs, prints, pairs, 5).count() == 199
+    assert [r.doc_id for r in simhash.keep_one_of_each(docs).collect()] == [0]
+
+
 def test_empty_table(documents):
     assert simhash.near_duplicates(documents((1, "x")).where("false")).count() == 0
