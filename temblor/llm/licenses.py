@@ -47,7 +47,7 @@ NOTICES = [
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted "
             "provided that the following conditions are met"),
     ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("all-rights-reserved", "Copyright. All rights reserved."),
+    ("all-rights-reserved", "All rights reserved."),
 ]
 
 

@@ -48,5 +48,11 @@ def test_every_prefix_finds_what_comparing_all_finds(documents):
     assert sorted(map(tuple, got.collect()), key=str) == brute(rows)
 
 
+def test_all_rights_reserved_as_it_stands_in_the_tables(documents):
+    rows = [(1, "some prose\nAll rights reserved.\nmore prose"), (2, "Copyright 2020 X. All rights reserved."), (3, "all rights here")]
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(documents(*rows)).collect()}
+    assert got == {1: ("all-rights-reserved", 1.0), 2: ("all-rights-reserved", 1.0), 3: ("", 0.0)}
+
+
 def test_empty_table(documents):
     assert licenses.scan(documents((1, "x")).where("false")).count() == 0
