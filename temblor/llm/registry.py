@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from temblor.llm.decontamination import OP1_SQL, op1_decontamination
 from temblor.llm.licenses import OP10_SQL, op10_licenses
+from temblor.llm.middle import OP11_SQL, op11_middle
 from temblor.llm.ngrams import op5_language_model
 from temblor.llm.packing import op2_packing
 from temblor.llm.pii import op9_pii
@@ -24,9 +25,11 @@ QUERIES = {
     "op8_repeats": op8_repeats,
     "op9_pii": op9_pii,
     "op10_licenses": op10_licenses,
+    "op11_middle": op11_middle,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": OP1_SQL,
     "op10_licenses": OP10_SQL,
+    "op11_middle": OP11_SQL,
 }
