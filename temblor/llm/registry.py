@@ -13,6 +13,7 @@ from temblor.llm.quotes import op4_quotations
 from temblor.llm.repeats import op8_repeats
 from temblor.llm.simhash import op7_simhash
 from temblor.llm.token_files import op3_token_files
+from temblor.llm.variants import OP13_SQL, op13_variants
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
@@ -26,10 +27,12 @@ QUERIES = {
     "op9_pii": op9_pii,
     "op10_licenses": op10_licenses,
     "op11_middle": op11_middle,
+    "op13_variants": op13_variants,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": OP1_SQL,
     "op10_licenses": OP10_SQL,
     "op11_middle": OP11_SQL,
+    "op13_variants": OP13_SQL,
 }
