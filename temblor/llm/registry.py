@@ -13,6 +13,7 @@ from temblor.llm.quotes import op4_quotations
 from temblor.llm.repeats import op8_repeats
 from temblor.llm.simhash import op7_simhash
 from temblor.llm.token_files import op3_token_files
+from temblor.llm.toxicity import op12_toxicity
 from temblor.llm.variants import OP13_SQL, op13_variants
 
 QUERIES = {
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_pii": op9_pii,
     "op10_licenses": op10_licenses,
     "op11_middle": op11_middle,
+    "op12_toxicity": op12_toxicity,
     "op13_variants": op13_variants,
 }
 

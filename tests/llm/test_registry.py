@@ -30,4 +30,4 @@ def test_query_equals_sql(spark, name):
 def test_all_are_registered():
     names = set(contract.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 12)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
