@@ -191,6 +191,9 @@ _AFTER_CTE: dict[str, str] = {
     "stream_count_gt3_in_order": _window(
         60, "count(*) as num_quakes_mag_gt3", "magnitude > 3.0"
     ),
+    "stream_count_gt3_compacted": _window(
+        60, "count(*) as num_quakes_mag_gt3", "magnitude > 3.0"
+    ),
     "stream_count_gt3_late": f"""
     , span as (select epoch_ms(min(ts)) as low, epoch_ms(max(ts)) as high from events)
     select time_bucket(interval '60 minutes', date_trunc('milliseconds', ts), timestamp '1970-01-01') as start,
@@ -221,6 +224,11 @@ _AFTER_CTE: dict[str, str] = {
     from messages a join messages b on a.location = b.location
       and b.time >= a.time - interval '15 minutes' and b.time <= a.time + interval '15 minutes'
     """,
+    "stream_location_join_unbounded": """
+    select a.location, a.magnitude as magnitude1, a.time as time1,
+      b.magnitude as magnitude2, b.time as time2
+    from near_messages a join near_messages b on a.location = b.location
+    """,
 }
 
 ORACLE_SQL: dict[str, str] = {

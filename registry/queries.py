@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from registry import tables
 from temblor import plans, streaming
 from temblor.config import shared_dir
-from temblor.operators import latest_view, proximity_join
-from temblor.sinks import file_batch_sink, read_changelog, write_table
+from temblor.operators import compacted, latest_view, proximity_join
+from temblor.sinks import file_batch_sink, read_changelog, write_snapshot, write_table
 from temblor.sources import (
     flatten_geojson,
     read_quakes_csv,
@@ -78,6 +78,37 @@ def _joined_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _joined_without_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs at a location from stored history: small batches, folded and restarted half-way."""
+    inbox, history, out, checkpoint = (
+        shared_dir(spark, x) for x in ("near", "history", "changelog", "stream")
+    )
+    sink = streaming.stored_join_sink(history, file_batch_sink(out))
+    half = tables.PARTS // 2
+    for parts in (range(half), range(half, tables.PARTS)):
+        tables.write_near_messages(spark, sf_dir, inbox, parts)
+        first, second = (
+            streaming.parse_quakes(read_text_stream(spark, inbox, files_per_batch=1)) for _ in range(2)
+        )
+        both = streaming.both_sides(first, second)
+        streaming.start_changelog(both, sink, out.rsplit("/", 1)[1], checkpoint, "append").awaitTermination()
+        streaming.fold_history(spark, history)
+    schema = streaming.stream_location_join(first, second).schema
+    return _without_zone(read_changelog(spark, out, schema).drop("batch_id"))
+
+
+def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly counts read through a snapshot of their changelog and the batches after it."""
+    path, out = shared_dir(spark, "in-order"), shared_dir(spark, "changelog")
+    tables.write_in_order(spark, sf_dir, path, late=False)
+    parsed = streaming.parse_quakes(read_text_stream(spark, path, files_per_batch=1))
+    counts = streaming.stream_count_gt3(parsed)
+    name = out.rsplit("/", 1)[1]
+    streaming.start_changelog(counts, file_batch_sink(out), name, shared_dir(spark, "stream")).awaitTermination()
+    write_snapshot(spark, out, counts.schema, compacted)
+    return _without_zone(latest_view(read_changelog(spark, out, counts.schema)))
+
+
 def _proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = tables.quakes(spark, sf_dir).select("event_id", "date", "latitude", "longitude")
     return proximity_join(events, events).select("event_id_left", "event_id_right")
@@ -209,6 +240,8 @@ QUERIES: dict[str, Query] = {
     "stream_equator_count_gt4": _windowed(streaming.stream_equator_count_gt4),
     "stream_replayed_slices": _stream(_replayed, latest=True, mode="update"),
     "stream_location_join": _stream(_joined_streams, latest=False, mode="append"),
+    "stream_location_join_unbounded": _joined_without_bound,
+    "stream_count_gt3_compacted": _compacted,
 }
 
 

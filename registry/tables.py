@@ -115,6 +115,15 @@ def write_in_order(spark: SparkSession, sf_dir: str, path: str, late: bool) -> N
         messages.write.mode("append").text(path)
 
 
+def write_near_messages(spark: SparkSession, sf_dir: str, path: str, parts: range) -> None:
+    """Messages whose location is shared by eight events each, dealt out to PARTS writes by event."""
+    events = _quakes(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    near = events.withColumn("place", F.expr("concat('AREA_', CAST(event_id DIV 8 AS STRING))"))
+    for k in parts:
+        part = near.where(F.col("event_id") % PARTS == k)
+        part.select(F.to_json(F.struct(*_fields())).alias("value")).write.mode("append").text(path)
+
+
 def quakes_by_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned-table columns with a stored column as `date`: limits on it reach the scan."""
     return quakes(spark, sf_dir).withColumn("date", F.col("ts"))
@@ -201,6 +210,10 @@ float_quakes as (
     cast(floor(longitude) + (event_id % 3) * 0.05::double as float) as longitude
   from quakes
 ),
+near_messages as (
+  select concat('AREA_', cast(event_id // 8 as varchar)) as location, magnitude, date_trunc('milliseconds', ts) as time
+  from quakes
+),
 messages as (
   select longitude, latitude, depth, place as location, magnitude,
     date_trunc('milliseconds', ts) as time, cast(tsunami as varchar) as tsunami,

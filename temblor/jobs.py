@@ -18,12 +18,15 @@ from temblor.config import (
     build_session,
     session_conf,
 )
+from temblor.operators import compacted
 from temblor.sinks import (
     debug_console,
     file_batch_sink,
+    forget_covered,
     jdbc_batch_sink,
     write_jdbc,
     write_kafka,
+    write_snapshot,
     write_table,
 )
 from temblor.sinks.stream import BatchSink
@@ -130,6 +133,8 @@ def run_streams(
 ) -> list[StreamingQuery]:
     """Start every streaming result from two streams of raw messages.
 
+    Without a bound on the join, its rows are kept in a table under `checkpoint_root` and not in state.
+
     Without `continuous` each query takes what is there and stops. `debug` adds console copies;
     each of them reads its source and keeps its state a second time. Rows from Kafka carry their
     origin into the tables that only ever grow.
@@ -138,12 +143,17 @@ def run_streams(
         streaming.parse_quakes(raw, with_origin="offset" in raw.columns)
         for raw in (first, second)
     )
+    root = checkpoint_root.rstrip("/")
+    results = {name: (job.build(a, b, limits), sink_for(name)) for name, job in STREAM_JOBS.items()}
+    if limits.join_bound is None:
+        joined = "stream_location_join"
+        stored = streaming.stored_join_sink(f"{root}/{joined}_history", sink_for(joined))
+        results[joined] = (streaming.both_sides(a, b), stored)
     queries = [
         streaming.start_changelog(
-            job.build(a, b, limits),
-            sink_for(name),
+            *results[name],
             name,
-            f"{checkpoint_root.rstrip('/')}/{name}",
+            f"{root}/{name}",
             job.mode,
             job.every if continuous else None,
             state_partitions,
@@ -162,13 +172,28 @@ def run_streams(
         with session_conf(first.sparkSession, STREAM_DEFAULTS):
             queries += [
                 debug_console(df, mode)
-                .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/debug_{name}")
+                .option("checkpointLocation", f"{root}/debug_{name}")
                 .start()
                 for name, (df, mode) in shown.items()
             ]
     return queries
 
 
+def compact(spark: SparkSession, path: str, keys: tuple[str, ...], upto: int | None = None, forget: bool = False) -> int | None:
+    """Fold a changelog, or with no `keys` the history of a stored join, into a snapshot.
+
+    Streams and readers may go on meanwhile. `forget` removes what the snapshot covers.
+    """
+    if not keys:
+        covered = streaming.fold_history(spark, path)
+    else:
+        schema = spark.read.parquet(path).drop("batch_id").schema
+        covered = write_snapshot(spark, path, schema, lambda rows: compacted(rows, keys), upto)
+    if forget:
+        forget_covered(spark, path)
+    return covered
+
+
 def publish(messages: DataFrame, slice_minutes: int, write: Callable[[DataFrame], None]) -> None:
     """Hand flattened messages to `write` with the number of the time slice they belong to."""
     write(replay_slices(messages, slice_minutes, column="time"))
@@ -177,6 +202,9 @@ def publish(messages: DataFrame, slice_minutes: int, write: Callable[[DataFrame]
 def main(argv: list[str] | None = None) -> None:
     args = _arguments().parse_args(argv)
     spark = build_session(f"temblor-{args.program}", hive=args.hive)
+    if args.program == "compact":
+        compact(spark, args.changelog.rstrip("/"), tuple(args.keys or ()), args.upto, args.forget)
+        return
     if args.program == "publish":
         messages = flatten_geojson(read_geojson(spark, args.geojson, args.one_per_file))
         if args.output:
@@ -203,6 +231,8 @@ def main(argv: list[str] | None = None) -> None:
 
     if args.program == "batch":
         table_path = args.table_path or (f"{out}/{args.table}" if out else None)
+        if not table_path and not args.hive:
+            raise SystemExit("with --jdbc-url, say where the table lies: --table-path, or --hive")
         write = (
             (lambda df, name: write_jdbc(df, target, name))
             if target
@@ -255,7 +285,7 @@ def _arguments() -> argparse.ArgumentParser:
         "--delay", required=True, type=_or_none(str), help="e.g. '6 hours'; none drops no row"
     )
     stream.add_argument(
-        "--join-bound", required=True, type=_or_none(int), help="seconds; none joins all pairs"
+        "--join-bound", required=True, type=_or_none(int), help="seconds; none joins all pairs, from a stored history"
     )
     stream.add_argument("--state-partitions", type=int, help="fixed once a checkpoint exists")
     stream.add_argument("--debug", action="store_true", help="also show results on the console")
@@ -267,6 +297,12 @@ def _arguments() -> argparse.ArgumentParser:
     to = publisher.add_mutually_exclusive_group(required=True)
     to.add_argument("--output", help="folder for message files, one folder per slice")
     to.add_argument("--kafka", metavar="BROKERS/TOPIC")
+    folder = programs.add_parser("compact", help="fold the batches of a changelog into a snapshot")
+    folder.add_argument("--changelog", required=True, help="folder of one streaming result")
+    folder.add_argument("--keys", nargs="*", help="e.g. start end; none for a stored join's history")
+    folder.add_argument("--upto", type=int, help="last batch; by default all but the newest")
+    folder.add_argument("--forget", action="store_true", help="remove what the snapshot covers")
+    folder.add_argument("--hive", action="store_true", help="use the cluster's metastore")
     for program in (batch, stream):
         sink = program.add_mutually_exclusive_group(required=True)
         sink.add_argument("--jdbc-url", help="user and password: TEMBLOR_JDBC_USER, _PASSWORD")

@@ -1,4 +1,9 @@
-from temblor.streaming.joins import stream_location_join
+from temblor.streaming.joins import (
+    both_sides,
+    fold_history,
+    stored_join_sink,
+    stream_location_join,
+)
 from temblor.streaming.parse import parse_quakes
 from temblor.streaming.run import await_all, start_changelog
 from temblor.streaming.windows import (
@@ -11,8 +16,11 @@ from temblor.streaming.windows import (
 
 __all__ = [
     "await_all",
+    "both_sides",
+    "fold_history",
     "parse_quakes",
     "start_changelog",
+    "stored_join_sink",
     "stream_all",
     "stream_avg_magnitude",
     "stream_count_gt3",

@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from temblor.operators.skew import TILES, tile_hot_keys
+from temblor.sinks.changelog import batch_ids, has_rows, read_changelog, write_snapshot
+from temblor.sinks.stream import BatchSink
+
+HISTORY_BUCKETS = 16
+
 
 def stream_location_join(
     a: DataFrame,
     b: DataFrame,
     bound_seconds: int | None = None,
     delay: str | None = None,
+    strips: int = 1,
+    busy: Sequence[str] | None = None,
 ) -> DataFrame:
     """Events of two streams reported at the same location; a NULL location matches nothing.
 
@@ -19,17 +29,21 @@ def stream_location_join(
     twice as wide as the bound, so that a row of the first stream looks in one or two buckets and
     a row of the second is in one.
 
+    A location that is busy within one bucket is cut further into `strips` x `strips` keys: a row
+    has a strip of its own, by its hash, and a copy for each strip of the other side, so that every pair meets
+    under one key. That costs `strips` times the state, for the `busy` locations alone if they are
+    named. To fill the state partitions evenly, choose strips x strips well above their number
+    (16 times); like it, both hold for the life of a checkpoint.
+
     With `bound_seconds=None`, by default, all pairs at a location match, whatever their times;
-    Spark then keeps every row ever seen, as it does without a `delay`. Streams parsed with an origin give `origin1` and `origin2` as well.
+    Spark then keeps every row ever seen, as it does without a `delay`. `stored_join_sink` does the
+    same without that state. Streams parsed with an origin give `origin1` and `origin2` as well.
     """
-    carried = ["magnitude", "time", *["origin"] * ("origin" in a.columns)]
-    first, second = (
-        df.select("location", *[F.col(name).alias(f"{name}{side}") for name in carried])
-        for df, side in ((a, 1), (b, 2))
-    )
+    first, second = _numbered(a, 1), _numbered(b, 2)
     columns = ["location", *first.columns[1:], *second.columns[1:]]
     if bound_seconds is None:
-        return first.join(second, "location").select(*columns)
+        first, second, cut = _cut_in_strips(first, second, strips, busy)
+        return first.join(second, ["location", *cut]).select(*columns)
 
     # Moments are rounded down to seconds here, hence the extra second.
     reach = bound_seconds + 1
@@ -41,13 +55,110 @@ def stream_location_join(
         F.explode(F.when(low == high, F.array(low)).otherwise(F.array(low, high))).alias("bucket"),
     )
     second = second.withColumn("bucket", _bucket(F.unix_timestamp("time2"), reach))
+    first, second, cut = _cut_in_strips(first, second, strips, busy)
     interval = F.expr(f"INTERVAL {int(bound_seconds)} SECONDS")
     near = (F.col("time2") >= F.col("time1") - interval) & (
         F.col("time2") <= F.col("time1") + interval
     )
     first, second = first.alias("f"), second.alias("s")
-    same = (F.col("f.location") == F.col("s.location")) & (F.col("f.bucket") == F.col("s.bucket"))
-    return first.join(second, same & near).select("f.location", *columns[1:])
+    same = near
+    for key in ("location", "bucket", *cut):
+        same = same & (F.col(f"f.{key}") == F.col(f"s.{key}"))
+    return first.join(second, same).select("f.location", *columns[1:])
+
+
+def both_sides(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two streams of parsed messages as one, for `stored_join_sink`; `side` is 1 or 2."""
+    columns = ["location", "magnitude", "time", *["origin"] * ("origin" in a.columns)]
+    one, two = (df.select(*columns, F.lit(side).alias("side")) for df, side in ((a, 1), (b, 2)))
+    return one.unionByName(two)
+
+
+def stored_join_sink(
+    history: str, sink: BatchSink, buckets: int = HISTORY_BUCKETS, hot_rows: int = 20_000
+) -> BatchSink:
+    """A sink for `both_sides` that hands on the pairs of equal location, whatever their times.
+
+    What has been seen lies in the table `history`, not in a state store: it is as large as storage
+    allows, and a batch reads only the parts of it that its own locations hash to. A pair comes out
+    in the batch that brings its later row: new rows of one side meet the stored and the new ones of the other.
+
+    A batch handed over again replaces what it had stored and meets earlier batches only, so it
+    gives the same pairs; with a sink that replaces repeated batches no pair is repeated or lost.
+    Rows at a location with more than `hot_rows` of them are joined in tiles. `fold_history` keeps
+    the number of folders down; `buckets` holds for the life of the history.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        place = F.pmod(F.xxhash64("location"), F.lit(buckets)).cast("int")
+        rows = batch.where("location IS NOT NULL").withColumn("bucket", place)
+        own = f"{history}/batch_id={batch_id}"
+        rows.hint("rebalance", "side", "bucket").write.partitionBy("side", "bucket").mode("overwrite").parquet(own)
+        new = spark.read.schema(rows.schema).parquet(own)
+        met = [r.bucket for r in new.select("bucket").distinct().collect()]
+        old = read_changelog(spark, history, rows.schema, before=batch_id)
+        old = old.where(F.col("bucket").isin(met)).select(*new.columns)
+        # New rows look for rows of the other side; among themselves, the first side looks.
+        sought = new.where("side = 2").unionByName(old)
+        pairs = _meetings(
+            new.withColumn("looking", F.col("side")), sought.selectExpr("*", "3 - side AS looking"), hot_rows
+        )
+        sink(pairs, batch_id)
+
+    return write
+
+
+def _meetings(new: DataFrame, sought: DataFrame, hot_rows: int) -> DataFrame:
+    """Pairs of `new` and `sought` rows in the order of their sides; `looking` is the new row's side."""
+    carried = [c for c in ("magnitude", "time", "origin") if c in new.columns]
+    own, other = (
+        df.select("location", "looking", *[F.col(c).alias(f"{kind}_{c}") for c in carried])
+        for kind, df in (("own", new), ("other", sought))
+    )
+    own, other = tile_hot_keys(own, other, ["location", "looking"], hot_rows)
+    met = own.join(other, ["location", "looking", *TILES])
+    in_order = [
+        F.when(F.col("looking") == side, F.col(f"own_{c}")).otherwise(F.col(f"other_{c}")).alias(f"{c}{side}")
+        for side in (1, 2)
+        for c in carried
+    ]
+    return met.select("location", *in_order)
+
+
+def fold_history(spark, history: str) -> int | None:
+    """Gather the stored batches of a `stored_join_sink` into one table with a folder per bucket."""
+    ids = [k for k in batch_ids(spark, history) if has_rows(spark, f"{history}/batch_id={k}")]
+    if not ids:
+        return None
+    schema = spark.read.parquet(f"{history}/batch_id={ids[-1]}").schema
+    gathered = lambda rows: rows.hint("rebalance", "side", "bucket")
+    return write_snapshot(spark, history, schema, gathered, partition_by=("side", "bucket"))
+
+
+STRIPS = ("strip1", "strip2")
+
+
+def _numbered(df: DataFrame, side: int) -> DataFrame:
+    carried = ["magnitude", "time", *["origin"] * ("origin" in df.columns)]
+    return df.select("location", *[F.col(name).alias(f"{name}{side}") for name in carried])
+
+
+def _cut_in_strips(
+    first: DataFrame, second: DataFrame, strips: int, busy: Sequence[str] | None
+) -> tuple[DataFrame, DataFrame, tuple[str, ...]]:
+    """Two more join columns: a row's own strip, and one copy for each strip of the other side."""
+    if strips == 1:
+        return first, second, ()
+    number = F.lit(int(strips))
+    if busy is not None:
+        number = F.when(F.col("location").isin(list(busy)), number).otherwise(1)
+    own, copies = F.pmod(F.xxhash64(F.struct("*")), number), F.explode(F.sequence(F.lit(0), number - 1))
+    return (
+        first.select("*", own.alias(STRIPS[0])).select("*", copies.alias(STRIPS[1])),
+        second.select("*", own.alias(STRIPS[1])).select("*", copies.alias(STRIPS[0])),
+        STRIPS,
+    )
 
 
 def _bucket(seconds, reach: int):
