@@ -9,10 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from temblor.operators.skew import TILES, merge_copies, tile_hot_keys
+from temblor.operators.skew import TILES, expand_copies, tile_hot_keys
 
 CELL = ("cell_lat", "cell_lon", "cell_time")
-COPIES = ("copies_of_left", "copies_of_right")
 
 # The reach of a box is widened by this much when cells are chosen, because the exact test
 # subtracts in the columns' own type and a float difference may round down onto the limit.
@@ -32,6 +31,7 @@ def proximity_join(
     suffixes: tuple[str, str] = ("_left", "_right"),
     equal: tuple[str, str] | None = None,
     hot_rows: int = 20_000,
+    copies: bool = True,
 ) -> DataFrame:
     """Inner join on |latitude| and |longitude| differences <= `box` and on time.
 
@@ -49,14 +49,15 @@ def proximity_join(
     The plan is an equi-join on grid cells followed by the exact test. Cells are at least twice
     as wide as the reach, so a left row's box meets one or two cells per dimension (1.8 x 1.8 in
     space at the defaults, two in time at most) and is copied only to those; each right row has
-    one cell, so a pair meets once. Copies of a row are merged before the join and dealt out again
-    after it. Cells holding more than `hot_rows` rows of a side are split, which repeats l left
-    rows r / hot_rows times and the other way round: the shuffle of a dense cell is quadratic like
-    its pairs, but over `hot_rows`. Make the smaller side the left one.
+    one cell, so a pair meets once. Cells holding more than `hot_rows` rows of a side are split,
+    which repeats l left rows r / hot_rows times and the other way round: the shuffle of a dense
+    cell is quadratic like its pairs, but over `hot_rows`. Exact copies of rows in such cells are
+    merged for the join and dealt out again after it; `copies=False` leaves that out, for inputs
+    without copies. Make the smaller side the left one.
     """
     a, b = (
-        merge_copies(_located(df).toDF(*[name + suffix for name in df.columns]), copies)
-        for df, suffix, copies in zip((left, right), suffixes, COPIES)
+        _located(df).toDF(*[name + suffix for name in df.columns])
+        for df, suffix in zip((left, right), suffixes)
     )
     (lat_a, lon_a, date_a), (lat_b, lon_b, date_b) = (
         [f"`{name}{suffix}`" for name in ("latitude", "longitude", "date")] for suffix in suffixes
@@ -82,7 +83,7 @@ def proximity_join(
             for df, name, suffix in zip((a, b), equal, suffixes)
         )
         keys.append("equal")
-    a, b = tile_hot_keys(a, b, keys, hot_rows)
+    a, b = tile_hot_keys(a, b, keys, hot_rows, copies)
     keys += TILES
     exact = (
         f"{lat_a} - {lat_b} BETWEEN -{float(box)}D AND {float(box)}D"
@@ -91,9 +92,7 @@ def proximity_join(
     )
     # The exact test follows the join as a filter; Catalyst folds it into the join condition.
     pairs = a.join(b, keys).where(exact).drop(*keys)
-    each = [f"`{name}`" for name in pairs.columns if name not in COPIES]
-    again = " * ".join(COPIES)
-    return pairs.selectExpr(*each, f"explode(array_repeat(0, CAST({again} AS INT))) AS copy").drop("copy")
+    return expand_copies(pairs) if copies else pairs
 
 
 def within_reach(df: DataFrame, of: DataFrame, box: float = 0.1) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from temblor.functions import count_where, hemisphere, in_band, in_period, ratio
-from temblor.operators import proximity_join, running_profile, within_reach
+from temblor.operators import proximity_join, running_profile, strongest_near, within_reach
 
 def tsunami_by_significance(df: DataFrame) -> DataFrame:
     """Events that raised a tsunami, most significant first (NULL significance last).
@@ -141,7 +141,7 @@ def event_pairs(
     """
     slack = timedelta(seconds=seconds + 1)
     near = _traits(df.where(in_period(df, "date", start - slack, end + slack)))
-    pairs = proximity_join(near, near, box, seconds, "later", suffixes=("1", "2"))
+    pairs = proximity_join(near, near, box, seconds, "later", suffixes=("1", "2"), copies=False)
     return (
         pairs.where(in_period(pairs, "date1", start, end) | in_period(pairs, "date2", start, end))
         .select("place1", "place2", "date1", "date2", "magnitude1", "magnitude2")
@@ -161,7 +161,7 @@ def foreshock_pairs(
 ) -> DataFrame:
     """For each event of at least `main`: every weaker event shortly before it."""
     strong, weaker = _strong_and_weaker(df, main, box)
-    pairs = proximity_join(strong, weaker, box, seconds, "before", suffixes=SIDES)
+    pairs = proximity_join(strong, weaker, box, seconds, "before", suffixes=SIDES, copies=False)
     return _shock_columns(pairs, "foreshock")
 
 
@@ -197,37 +197,19 @@ def _largest_around_main(
 ) -> DataFrame:
     """Strong events with the strongest of the weaker events around them, ties kept.
 
-    Forming all pairs and ranking them would sort every pair of a busy place. Here the first
-    join only looks up the greatest magnitude: weaker events are merged beforehand to one row
-    per position and second (they match the same strong events), and pairs are folded into a
-    maximum as they arise. The second join finds who reached it, by equality.
-
     Strong events of the same date, magnitude and place are one main event and share a maximum.
     """
-    strong, weaker = _strong_and_weaker(df, main, box)
-    whole_second = F.timestamp_seconds(F.unix_timestamp("date"))
-    spots = weaker.groupBy("latitude", "longitude", whole_second.alias("date")).agg(
-        F.max("magnitude").alias("magnitude")
-    )
-    tops = (
-        proximity_join(strong, spots, box, seconds, direction, suffixes=SIDES)
-        .groupBy("date_main", "magnitude_main", "place_main")
-        .agg(F.max("magnitude_other").alias("top"))
-    )
-    same_event = (
-        (F.col("date") == F.col("date_main"))
-        & (F.col("magnitude") == F.col("magnitude_main"))
-        & F.col("place").eqNullSafe(F.col("place_main"))
-    )
-    mains = strong.join(tops, same_event).select(*strong.columns, "top")
-    return proximity_join(
-        mains,
+    strong = _traits(df.where(F.col("magnitude") >= main))
+    weaker = df.where(F.col("magnitude") < main).select(*strong.columns)
+    return strongest_near(
+        strong,
         weaker,
+        "magnitude",
+        ("date", "magnitude", "place"),
         box,
         seconds,
         direction,
         suffixes=SIDES,
-        equal=("top", "magnitude"),
     )
 
 

@@ -13,9 +13,11 @@ from temblor.config import session_conf
 from temblor.operators import (
     compacted,
     latest_view,
+    expand_copies,
     merge_copies,
     proximity_join,
     running_profile,
+    strongest_near,
     tile_hot_keys,
     within_reach,
 )
@@ -148,6 +150,66 @@ def test_copies_are_merged_before_and_dealt_out_after_the_join(spark):
     assert merged.collect()[0]["copies"] == 3000 and merged.count() == 1
 
 
+def test_fifty_thousand_copies_a_side(spark):
+    """2.5 billion pairs of equal rows, counted without an array of them."""
+    def same(n, second):
+        return spark.range(n).selectExpr(
+            "1.0D AS latitude", "2.0D AS longitude", f"timestamp_seconds({second}) AS date"
+        )
+
+    left, right = same(50_000, 100).union(same(3, 101)), same(50_000, 160)
+    pairs = proximity_join(left, right)
+    assert pairs.count() == 50_003 * 50_000
+    assert "array_repeat" not in plan_text(pairs)
+
+
+def test_copies_of_hot_keys_travel_in_chunks(spark):
+    rows_of = spark.range(5200).selectExpr("CAST(greatest(id - 5000, 0) AS INT) AS id", "0 AS k")
+    few = spark.range(2).selectExpr("CAST(id AS INT) AS other", "0 AS k")
+    a, b = tile_hot_keys(rows_of, few, ["k"], hot_rows=1000, copies=True)
+    chunks = a.where("id = 0").collect()
+    assert sum(r["copies_of_left"] for r in chunks) == 5001 and len(chunks) == 6
+    assert max(r["copies_of_left"] for r in chunks) == 1000
+    assert len({r["tile_left"] for r in chunks}) > 1
+    paired = expand_copies(a.join(b, ["k", "tile_left", "tile_right"]))
+    plain = rows_of.join(few, "k")
+    assert rows(paired.groupBy("id", "other").count()) == rows(plain.groupBy("id", "other").count())
+
+
+def test_copies_of_other_keys_are_not_shuffled_to_be_merged(spark):
+    table = spark.range(60).selectExpr("id % 3 AS id", "id % 20 AS k")
+    a, b = tile_hot_keys(table, table.withColumnRenamed("id", "other"), ["k"], hot_rows=50, copies=True)
+    assert a.count() == 60 and {r[0] for r in a.select("copies_of_left").collect()} == {1}
+    paired = expand_copies(a.join(b, ["k", "tile_left", "tile_right"]))
+    assert paired.count() == 20 * 9
+
+
+@pytest.mark.parametrize("box,seconds,direction", [(0.1, 900, "both"), (0.3, 60, "later"), (1.0, 18_000, "after"), (10.0, 86_400, "before")])
+@pytest.mark.parametrize("hot_rows", [20_000, 2])
+def test_strongest_near_against_all_pairs(spark, box, seconds, direction, hot_rows):
+    events = _events(spark, 300, 11).withColumn("strength", F.expr("CAST(id * 37 % 11 AS DOUBLE)"))
+    events = events.withColumn("name", F.expr("IF(id % 5 = 0, NULL, id % 4)"))
+    main, other = events.where("strength > 7"), events.where("strength <= 7")
+    pairs = proximity_join(main, other, box, seconds, direction, suffixes=("_main", "_other"))
+    pairs.createOrReplaceTempView("all_pairs")
+    expected = spark.sql("""SELECT id_main, id_other FROM (SELECT *, max(strength_other) OVER
+        (PARTITION BY date_main, name_main) AS best FROM all_pairs) WHERE strength_other = best""")
+    found = strongest_near(
+        main, other, "strength", ("date", "name"), box, seconds, direction, hot_rows=hot_rows
+    )
+    assert rows(found.select("id_main", "id_other")) == rows(expected)
+
+
+def test_strongest_near_keeps_ties_and_copies(spark):
+    main = spark.sql("SELECT 0.0D AS latitude, 0.0D AS longitude, timestamp_seconds(1000) AS date, 9.0D AS strength")
+    other = spark.range(3000).selectExpr(
+        "0.05D AS latitude", "0.0D AS longitude", "timestamp_seconds(1000 + id % 5) AS date", "IF(id % 5 = 0, 7.0D, 6.0D) AS strength"
+    )
+    found = strongest_near(main, other, "strength", ("date",), 0.1, 60, "both", hot_rows=50)
+    assert found.count() == 2400 and {r[0] for r in found.select("strength_other").collect()} == {6.0}
+    assert strongest_near(main, other.where("strength > 9"), "strength", ("date",)).count() == 0
+
+
 def test_a_key_hot_on_one_side_only(spark):
     left = spark.range(500).select("id", F.lit(0).alias("k"))
     right = spark.range(1).select(F.lit(7).alias("other"), F.lit(1).alias("k"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -293,6 +294,18 @@ def test_largest_folds_pairs_and_never_ranks_them(spark, quakes, folder):
     assert "Window" not in text
 
 
+def test_largest_needs_few_shuffles(spark, folder):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").selectExpr(
+        "'p' AS place", "ts AS date", "CAST(event_id % 73 AS DOUBLE) / 8 AS magnitude",
+        "CAST(user_id % 40 AS DOUBLE) AS latitude", "CAST(user_id % 7 AS DOUBLE) AS longitude",
+    )
+    events.write.parquet(folder)
+    df = plans.largest_aftershock(spark.read.parquet(folder))
+    df.collect()
+    final = plan_text(df, "simple").split("== Initial Plan ==")[0]
+    assert len(re.findall(r"(?<!Reused)(?<!Broadcast)Exchange ", final)) <= 12
+
+
 def test_largest_against_ranking_all_pairs(spark):
     """Random rows, with many ties, shared seconds and repeated main events."""
     rng = random.Random(3)
