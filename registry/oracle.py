@@ -194,6 +194,10 @@ _AFTER_CTE: dict[str, str] = {
     "stream_count_gt3_compacted": _window(
         60, "count(*) as num_quakes_mag_gt3", "magnitude > 3.0"
     ),
+    "stream_count_gt3_closed": f"""
+    select * from ({_window(60, "count(*) as num_quakes_mag_gt3", "magnitude > 3.0")}) w
+    where "end" <= (select max(time) from messages) - interval '10 hours'
+    """,
     "stream_count_gt3_late": f"""
     , span as (select epoch_ms(min(ts)) as low, epoch_ms(max(ts)) as high from events)
     select time_bucket(interval '60 minutes', date_trunc('milliseconds', ts), timestamp '1970-01-01') as start,

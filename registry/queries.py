@@ -19,7 +19,9 @@ from temblor.sources import (
     read_quakes_csv,
     read_table,
     read_text_stream,
+    release_slices,
     replay_slices,
+    stage_slices,
     write_slices,
 )
 
@@ -173,12 +175,21 @@ def _sql_over_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Slices of five hours written as message files, then read back as a stream."""
-    path = shared_dir(spark, "slices")
-    write_slices(replay_slices(tables.message_fields(spark, sf_dir), 300, column="moment"), path)
-    parsed = streaming.parse_quakes(read_text_stream(spark, path))
-    return streaming.stream_equator_max(parsed, delay=tables.replay_delay(spark, sf_dir))
+def _released(window_plan: Callable[..., DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Slices of five hours released in order of time, a file per batch, read as a stream.
+
+    The watermark lies two slices back, however long the history is.
+    """
+
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = shared_dir(spark, "slices")
+        sliced = replay_slices(tables.message_fields(spark, sf_dir), 300, column="moment")
+        stage_slices(sliced, path, 120)
+        release_slices(spark, path)
+        parsed = streaming.parse_quakes(read_text_stream(spark, path, files_per_batch=1))
+        return window_plan(parsed, delay="10 hours")
+
+    return build
 
 
 def _sliced(minutes: int) -> Query:
@@ -238,7 +249,12 @@ QUERIES: dict[str, Query] = {
     "stream_published_slices": _stream(_published, latest=True, mode="update"),
     "stream_equator_max": _windowed(streaming.stream_equator_max),
     "stream_equator_count_gt4": _windowed(streaming.stream_equator_count_gt4),
-    "stream_replayed_slices": _stream(_replayed, latest=True, mode="update"),
+    "stream_replayed_slices": _stream(
+        _released(streaming.stream_equator_max), latest=True, mode="update"
+    ),
+    "stream_count_gt3_closed": _stream(
+        _released(streaming.stream_count_gt3), latest=False, mode="append"
+    ),
     "stream_location_join": _stream(_joined_streams, latest=False, mode="append"),
     "stream_location_join_unbounded": _joined_without_bound,
     "stream_count_gt3_compacted": _compacted,

@@ -36,7 +36,9 @@ from temblor.sources import (
     read_quake_stream,
     read_quakes_csv,
     read_table,
+    release_slices,
     replay_slices,
+    stage_slices,
     write_slices,
 )
 
@@ -208,7 +210,12 @@ def main(argv: list[str] | None = None) -> None:
     if args.program == "publish":
         messages = flatten_geojson(read_geojson(spark, args.geojson, args.one_per_file))
         if args.output:
-            publish(messages, args.slice_minutes, lambda df: write_slices(df, args.output))
+            if not args.in_order:
+                publish(messages, args.slice_minutes, lambda df: write_slices(df, args.output))
+                return
+            day = max(1, 24 * 60 // args.slice_minutes)
+            publish(messages, args.slice_minutes, lambda df: stage_slices(df, args.output, day))
+            release_slices(spark, args.output, pause=args.pause)
         else:
             # Sorted by slice and time, as far as partitions of the topic keep an order.
             topic = KafkaTopic(*args.kafka.rsplit("/", 1))
@@ -293,9 +300,13 @@ def _arguments() -> argparse.ArgumentParser:
     publisher.add_argument("--geojson", required=True)
     publisher.add_argument("--one-per-file", action="store_true", help="else one document a line")
     publisher.add_argument("--slice-minutes", type=int, default=15)
+    publisher.add_argument(
+        "--in-order", action="store_true", help="a folder per day, released one after the other"
+    )
+    publisher.add_argument("--pause", type=float, default=0, help="seconds between two days")
     publisher.add_argument("--hive", action="store_true", help="use the cluster's metastore")
     to = publisher.add_mutually_exclusive_group(required=True)
-    to.add_argument("--output", help="folder for message files, one folder per slice")
+    to.add_argument("--output", help="folder for message files, one folder per slice unless --in-order")
     to.add_argument("--kafka", metavar="BROKERS/TOPIC")
     folder = programs.add_parser("compact", help="fold the batches of a changelog into a snapshot")
     folder.add_argument("--changelog", required=True, help="folder of one streaming result")

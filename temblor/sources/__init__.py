@@ -1,6 +1,6 @@
 from temblor.sources.files import read_quakes_csv, read_table
 from temblor.sources.geojson import flatten_geojson, read_geojson
-from temblor.sources.replay import replay_slices, write_slices
+from temblor.sources.replay import release_slices, replay_slices, stage_slices, write_slices
 from temblor.sources.stream import read_quake_stream, read_text_stream
 
 __all__ = [
@@ -10,6 +10,8 @@ __all__ = [
     "read_quakes_csv",
     "read_table",
     "read_text_stream",
+    "release_slices",
     "replay_slices",
+    "stage_slices",
     "write_slices",
 ]

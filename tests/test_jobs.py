@@ -100,3 +100,11 @@ def test_arguments():
     assert args.first.rsplit("/", 1) == ["k1:1,k2:2", "a"] and args.debug
     with pytest.raises(SystemExit):
         parse(["batch", "--csv", "in.csv"])
+
+
+def test_publish_program_releases_days_in_order(spark, folder):
+    documents, out = f"{folder}/in", f"{folder}/out"
+    tables.documents(spark, SMALL).write.text(documents)
+    jobs.main(["publish", "--geojson", documents, "--slice-minutes", "300", "--output", out, "--in-order"])
+    days = [r.release for r in spark.read.text(out).select("release").distinct().orderBy("release").collect()]
+    assert len(days) > 20 and spark.read.text(out).count() == 2 * 1000
