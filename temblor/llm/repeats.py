@@ -284,5 +284,10 @@ def remove_repeats(docs: DataFrame, hot_regions: int = HOT_REGIONS) -> DataFrame
 
 
 def op8_repeats(spark, sf_dir: str) -> DataFrame:
-    """Repeated passages of all documents."""
-    return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("kept")
+    """Repeated passages of all documents, and what is left of each.
+
+    A cut may fall inside a character; `kept_text` has U+FFFD there, the checksum is of the bytes.
+    """
+    found = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    left = found.withColumn("n_kept", F.octet_length("kept").cast("long"))
+    return left.withColumn("kept_text", F.make_valid_utf8(F.col("kept").cast("string"))).drop("kept")

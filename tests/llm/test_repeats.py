@@ -85,3 +85,12 @@ def test_family_finds_all_and_stays_logarithmic():
 
 def test_empty_table(documents):
     assert repeats.remove_repeats(documents((1, "x")).where("false")).count() == 0
+
+
+def test_query_returns_what_is_left(spark):
+    got = repeats.op8_repeats(spark, "/root/testdata/sf0.001").collect()
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    assert all(r.n_kept == r.n_bytes - r.n_removed for r in got)
+    untouched = [r for r in got if not r.n_removed]
+    assert untouched and all(r.kept_text == texts[r.doc_id] for r in untouched)
+    assert all(len(r.kept_text) < len(texts[r.doc_id]) for r in got if r.n_removed)
