@@ -15,7 +15,9 @@ and never all pairs; the forests are joined up by alternating star contraction.
 
 Defined results: a null or empty text, or one of white space, has no words and fingerprint zero,
 which links like any other. Rows with a null `doc_id` take part; the smallest of a group's ids is
-that of the others, or null. Equal rows are rows of one group. Further columns are ignored.
+that of the others, or null. Equal rows are rows of one group. Further columns are ignored, and
+`keep_one_of_each` returns them whatever their names. Very long texts are read whole, in one row; a
+shingle list takes eight bytes a word. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -27,19 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from temblor.llm.common import lower_bytes, materialise, mix, slices, small, text_bytes
+from temblor.llm.common import lower_bytes, materialise, mix, slices, text_bytes
 
 # Length, generator polynomial and covering radius of perfect cyclic codes.
 CODES = ((23, 0b110001110101, 3), (15, 0b10011, 1))  # Golay, Hamming
 # Per block: word of the fingerprint, first bit, number of bits, threshold.
 BLOCKS = ((0, 0, 26, 1), (0, 26, 26, 1), (0, 52, 12, 0))
-# Candidates for 0.8 of the shingles, where about 85 of 100 bits agree: 48 of 320 bits differ, with a
-# standard deviation of 6.4; one of twenty blocks meets but for about 6 in 10,000 pairs.
-WIDE_WORDS, WIDE_DISTANCE = 5, 78
-WIDE_BLOCKS = tuple((w, 15 * k, 15, 1) for w in range(WIDE_WORDS) for k in range(4))
-SHARE = 0.8
-LOWEST = 2
-PARTNERS = 64
 TILE_ROWS = 4096
 SLICE_BYTES = 2 << 20
 
@@ -303,182 +298,20 @@ def near_duplicates(
     return prints.join(named, "node").select("doc_id", "text_hash", *names, "component", "component_id")
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    text = F.coalesce("text", F.lit(""))
-    return docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
-
-
-def _set_of(text: bytes, words: int) -> np.ndarray:
-    return np.unique(_shingles(text, words))
-
-
-def set_prints(docs: DataFrame, words: int, width: int = WIDE_WORDS) -> DataFrame:
-    """Per row: doc_id, text_hash, node (hash of its shingle set), n (of the set), bits_k, low_k.
-
-    Fingerprints are of different shingles, however often one recurs. low_k is the least hash of the
-    set in one of `LOWEST` orders.
-    """
-    lows = [f"low_{k}" for k in range(LOWEST)]
-
-    def compute(batches):
-        from xxhash import xxh64_intdigest
+def keep_one_of_each(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame:
+    """`docs` with one row of each group of `near_duplicates`: that with the smallest doc_id, null last.
 
-        for batch in batches:
-            for part in slices(batch, SLICE_BYTES):
-                data, offsets = text_bytes(part.column("text"))
-                raw = lower_bytes(data).tobytes()
-                sets = [_set_of(raw[offsets[k] : offsets[k + 1]], words) for k in range(part.num_rows)]
-                n = np.array([len(x) for x in sets], np.int64)
-                node = np.array([xxh64_intdigest(x.tobytes(), 7) for x in sets], np.uint64)
-                rows, every = np.repeat(np.arange(part.num_rows), n), np.concatenate(sets)
-                columns = [part.column("doc_id"), part.column("text_hash"), pa.array(node.view(np.int64)), pa.array(n)]
-                for k in range(width):
-                    again = mix(every + np.uint64(k)) if k else every
-                    columns.append(pa.array(fingerprint_bits(again, rows, part.num_rows).view(np.int64)))
-                some, starts = n > 0, (np.cumsum(n) - n)
-                for k in range(LOWEST):
-                    low = np.zeros(part.num_rows, np.uint64)
-                    if some.any():
-                        low[some] = np.minimum.reduceat(mix(every ^ mix(np.full(1, 1000 + k, np.uint64))), starts[some])
-                    columns.append(pa.array(low.view(np.int64)))
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "node", "n", *_words(width), *lows])
-
-    longs = ", ".join(f"{w} long" for w in ("doc_id", "text_hash", "node", "n", *_words(width), *lows))
-    return _keyed(docs).mapInArrow(compute, longs)
-
-
-def alike(docs: DataFrame, prints: DataFrame, pairs: DataFrame, words: int, share: float = SHARE) -> DataFrame:
-    """Those of `pairs` (a, b: nodes of `prints`) whose sets have `share` of their union in common.
-
-    Shingle sets are made again from the texts of nodes in pairs only. The partners of a node are
-    dealt out by `PARTNERS`, each part with the node's own set before theirs.
-    """
-    parts = small(pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("parts")))
-    part = F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part")
-    every_part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
-    roles = pairs.join(parts, "a").select(F.col("b").alias("node"), "a", part, F.lit(1).alias("place")).unionByName(
-        parts.select(F.col("a").alias("node"), "a", every_part, F.lit(0).alias("place"))
-    )
-    roles = materialise(roles, "roles")
-    one = prints.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("one"))
-    one = small(materialise(one.join(roles.select("node").distinct(), "node").select("node", "one.*"), "compared"))
-    texts = _keyed(docs)
-    same = texts["doc_id"].eqNullSafe(one["doc_id"]) & (texts["text_hash"] == one["text_hash"])
-
-    def shingled(batches):
-        for batch in batches:
-            for cut in slices(batch, SLICE_BYTES):
-                data, offsets = text_bytes(cut.column("text"))
-                raw = lower_bytes(data).tobytes()
-                sets = [_set_of(raw[offsets[k] : offsets[k + 1]], words).tobytes() for k in range(cut.num_rows)]
-                yield pa.RecordBatch.from_arrays([cut.column("node"), pa.array(sets, pa.binary())], ["node", "shingles"])
-
-    sets = texts.join(one, same).select("node", "text").mapInArrow(shingled, "node long, shingles binary")
-    dealt = sets.join(small(roles), "node").repartition("a", "part").sortWithinPartitions("a", "part", "place")
-
-    def compare(batches):
-        at, own = None, None
-        for batch in batches:
-            out = []
-            a, part, place, node = (batch.column(k).to_pylist() for k in ("a", "part", "place", "node"))
-            for k, shingles in enumerate(batch.column("shingles")):
-                got = np.frombuffer(shingles.as_buffer(), np.uint64)
-                if not place[k]:
-                    at, own = (a[k], part[k]), got.copy()
-                    continue
-                if at != (a[k], part[k]):
-                    raise RuntimeError("a part without its first set")
-                both = len(np.intersect1d(own, got, assume_unique=True))
-                if both >= share * (len(own) + len(got) - both) - 1e-9:
-                    out.append((a[k], node[k]))
-            a, b = zip(*out) if out else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-    return dealt.mapInArrow(compare, "a long, b long")
-
-
-def candidates(prints: DataFrame, distance: int, blocks=WIDE_BLOCKS, share: float = SHARE, tile_rows: int = TILE_ROWS) -> DataFrame:
-    """Pairs (a, b) of nodes of `prints` (node, bits_0, ..., n, root) that may have `share` in common.
-
-    They meet at an anchor, are within `distance`, their sets' sizes allow it, and they have
-    different roots.
-    """
-    names = prints.columns[1:]
-    # Replicas are made twice, not stored: for counts and for tiles.
-    tiles = _tiles(replicas(prints, blocks), names, tile_rows)
-
-    def compare(batches):
-        tables = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
-        if not tables:
-            return
-        table = pa.concat_tables(tables)
-        key, x, y, node, home, n, root = (table.column(k).to_numpy() for k in ("anchor", "x", "y", "node", "home", "n", "root"))
-        values = [table.column(w).to_numpy().view(np.uint64) for w in names[:-2]]
-        order = np.lexsort((~home, y, x, key))
-        key, x, y, node, home, n, root, *values = (v[order] for v in (key, x, y, node, home, n, root, *values))
-        edge = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])])
-        for lo, hi in zip(edge.tolist(), [*edge[1:].tolist(), len(key)]):
-            mid = lo + int(home[lo:hi].sum())
-            if mid == lo or mid == hi:
-                continue
-            for at in range(lo, mid, step := max(1, (1 << 20) // (hi - mid))):
-                to = min(at + step, mid)
-                apart = np.zeros((to - at, hi - mid), np.uint16)
-                for v in values:
-                    apart += np.bitwise_count(v[at:to, None] ^ v[None, mid:hi])
-                p, q = np.nonzero(apart <= distance)
-                p, q = p + at, q + mid
-                less, more = np.minimum(n[p], n[q]), np.maximum(n[p], n[q])
-                met = (root[p] != root[q]) & (less >= share * more - 1e-9)
-                p, q = node[p[met]], node[q[met]]
-                found = np.unique(np.stack([np.minimum(p, q), np.maximum(p, q)], axis=1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
-
-    return tiles.repartition("anchor", "x", "y").mapInArrow(compare, "a long, b long").distinct()
-
-
-def set_components(docs: DataFrame, words: int = 5, share: float = SHARE) -> DataFrame:
-    """Per row of `docs`: doc_id, text_hash, component; linked sets have `share` of their union in common.
-
-    Rows with equal shingle sets are one node. Nodes with the same least hash are first compared with
-    one of them, so that large groups are joined up before pairs are listed; then every pair the
-    anchors propose between different groups is compared.
-    """
-    prints = materialise(set_prints(docs, words), "fingerprints")
-    names = [c for c in prints.columns if c.startswith("bits_")]
-    nodes = prints.groupBy("node").agg(*(F.min(c).alias(c) for c in prints.columns[3:]))
-    nodes = materialise(nodes, "sets")
-    stars = None
-    for k in range(LOWEST):
-        one = nodes.groupBy(f"low_{k}").agg(F.min(F.struct("node", "n")).alias("one"), F.count("*").alias("many")).where("many > 1")
-        fit = F.least("n", "one.n") >= share * F.greatest("n", "one.n") - 1e-9
-        star = nodes.join(one, f"low_{k}").where((F.col("node") != F.col("one.node")) & fit)
-        star = star.select(F.col("one.node").alias("a"), F.col("node").alias("b"))
-        stars = star if stars is None else stars.unionByName(star)
-    stars = materialise(stars.distinct(), "stars")
-    linked = materialise(alike(docs, prints, stars, words, share), "linked")
-    roots = components(linked)
-    rooted = nodes.join(roots, "node", "left").select("node", *names, "n", F.coalesce("root", "node").alias("root"))
-    pairs = materialise(candidates(rooted, WIDE_DISTANCE, WIDE_BLOCKS, share), "candidates")
-    more = materialise(alike(docs, prints, pairs, words, share), "linked")
-    roots = components(linked.unionByName(more))
-    return prints.join(roots, "node", "left").select("doc_id", "text_hash", F.coalesce("root", "node").alias("component"))
-
-
-def keep_one_of_each(docs: DataFrame, words: int = 5) -> DataFrame:
-    """`docs` with one row of each group of near copies: that with the smallest doc_id, null last.
-
-    Near copies share 0.8 or more of the union of their different shingles of `words` words, as
-    counted on the sets; fingerprints only propose pairs. Of equal rows one stays.
+    Rows without a word are one group, too. Of equal rows one stays.
     """
-    found = set_components(docs, words)
+    found = near_duplicates(docs, words, distance)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
     chosen = found.groupBy("component").agg(first).select("first.doc_id", "first.text_hash")
-    names = docs.columns
-    keyed = docs.withColumn("__text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    same = keyed["doc_id"].cast("long").eqNullSafe(chosen["doc_id"]) & (keyed["__text_hash"] == chosen["text_hash"])
-    kept = keyed.join(chosen, same, "left_semi")
-    return kept.dropDuplicates(["doc_id", "__text_hash"]).select(*names)
+    names, own = docs.columns, "text_hash"
+    while own in names:
+        own += "_"
+    keyed = docs.withColumn(own, F.xxhash64(F.coalesce("text", F.lit(""))))
+    same = keyed["doc_id"].cast("long").eqNullSafe(chosen["doc_id"]) & (keyed[own] == chosen["text_hash"])
+    return keyed.join(chosen, same, "left_semi").dropDuplicates(["doc_id", own]).select(*names)
 
 
 def op7_simhash(spark, sf_dir: str) -> DataFrame:
