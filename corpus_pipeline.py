@@ -27,8 +27,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return keep_one_of_each(docs)
+    """One document of each group of fingerprints at 4 or fewer differing bits, of 4-word shingles."""
+    return keep_one_of_each(docs, words=4, distance=4)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
