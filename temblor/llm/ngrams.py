@@ -13,7 +13,8 @@ blocks of numpy arrays, so that whoever holds a context's trie also gets all que
 4. sums per document come together by slice.
 
 Contexts with a large share of all tokens are dealt out by context and successor; how many there
-can be is bounded by that share. What a task holds is bounded by `BUCKET_TEXT_BYTES`.
+can be is bounded by that share. Rows reach a task sorted by bucket (by slice in 4) and it holds one
+of them at a time, about BUCKET_TEXT_BYTES / BUCKETS_PER_TASK of text, however many fall to it.
 
 Contexts and the base score use 64-bit word hashes; successors within a context are told apart by
 40 bits. Defined results: a null or empty text is its end alone. Rows are scored each, equal rows
@@ -214,6 +215,21 @@ def _flow(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["kind", "bucket", "slice", "body"])
 
 
+def _by_key(batches, key: str):
+    """(key, its rows of kind, slice and body) of rows that come sorted by the key, one key at a time."""
+    at, rows = None, []
+    for batch in batches:
+        columns = (batch.column(c).to_pylist() for c in (key, "kind", "slice", "body"))
+        for now, *row in zip(*columns):
+            if now != at and rows:
+                yield at, rows
+                rows = []
+            at = now
+            rows.append(row)
+    if rows:
+        yield at, rows
+
+
 def _tokens(part) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Contexts, successors, row of each, and the number of tokens of each row of a slice."""
     data, offsets = text_bytes(part.column("text"))
@@ -322,9 +338,9 @@ def score_corpus(docs: DataFrame, discount: float = DISCOUNT) -> DataFrame:
             number += 1
 
     def answer(batches):
-        records, counts = [], []
-        for batch in batches:
-            for kind, slice_, body in zip(*(batch.column(c).to_pylist() for c in ("kind", "slice", "body"))):
+        for _, rows in _by_key(batches, "bucket"):
+            records, counts = [], []
+            for kind, slice_, body in rows:
                 if kind == ROWS:
                     yield _flow([(ROWS, 0, slice_, body)])
                 elif kind == HOT_COUNTS:
@@ -333,18 +349,22 @@ def score_corpus(docs: DataFrame, discount: float = DISCOUNT) -> DataFrame:
                     own, lengths, low, high, marked = _unpack(body, "<u8", "<u4", "<u4", "u1", "<u2")
                     code = low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)
                     records.append((slice_, np.repeat(own, lengths), code, marked))
-        if records:
-            yield from _answer_records(records)
-        if counts:
-            slice_of = np.repeat([c[0] for c in counts], [len(c[1]) for c in counts])
-            context, marked, n = (np.concatenate([c[k] for c in counts]) for k in (1, 2, 3))
-            n = n.astype(np.int64)
-            names, inverse = np.unique(context, return_inverse=True)
-            c = np.bincount(inverse, n * (marked < DOCS), len(names))
-            yield _flow(_unigrams(names, c))
-            c = c[inverse]
-            sums = _sums(slice_of, marked % DOCS, n * np.log10(c + 0.5), -n * np.log10(np.maximum(c, 1)), n * (c > 0))
-            yield _flow([(SUMS, 0, s, body) for s, body in sums])
+            rows.clear()
+            if records:
+                yield from _answer_records(records)
+            if counts:
+                yield from _answer_counts(counts)
+
+    def _answer_counts(counts):
+        slice_of = np.repeat([c[0] for c in counts], [len(c[1]) for c in counts])
+        context, marked, n = (np.concatenate([c[k] for c in counts]) for k in (1, 2, 3))
+        n = n.astype(np.int64)
+        names, inverse = np.unique(context, return_inverse=True)
+        c = np.bincount(inverse, n * (marked < DOCS), len(names))
+        yield _flow(_unigrams(names, c))
+        c = c[inverse]
+        sums = _sums(slice_of, marked % DOCS, n * np.log10(c + 0.5), -n * np.log10(np.maximum(c, 1)), n * (c > 0))
+        yield _flow([(SUMS, 0, s, body) for s, body in sums])
 
     def _unigrams(contexts, c):
         seen = c > 0
@@ -396,15 +416,20 @@ def score_corpus(docs: DataFrame, discount: float = DISCOUNT) -> DataFrame:
         asked, doc, slice_of, to = code[unseen], (marked[unseen] % DOCS).astype("<u2"), slice_of[unseen], bucket(code[unseen])
         order = np.lexsort((slice_of, to))
         asked, doc, slice_of, to, hot_at = (x[order] for x in (asked, doc, slice_of, to, hot_at))
-        edge = np.flatnonzero(np.r_[True, (to[1:] != to[:-1]) | (slice_of[1:] != slice_of[:-1])]) if len(to) else []
+        edge = np.flatnonzero(np.r_[True, to[1:] != to[:-1]]) if len(to) else []
         out = []
         for lo, hi in zip(edge, [*edge[1:], len(to)]):
-            cut = asked[lo:hi]
-            body = _pack((cut & np.uint64(0xFFFFFFFF)).astype("<u4"), (cut >> np.uint64(32)).astype("u1"), doc[lo:hi], hot_at[lo:hi].astype("<u2"))
-            out.append((ASKED, to[lo], slice_of[lo], body))
+            cut, own = asked[lo:hi], slice_of[lo:hi]
+            runs = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            low, high = (cut & np.uint64(0xFFFFFFFF)).astype("<u4"), (cut >> np.uint64(32)).astype("u1")
+            body = _pack(low, high, doc[lo:hi], hot_at[lo:hi].astype("<u2"), own[runs], np.diff(np.r_[runs, hi - lo]).astype("<u4"))
+            out.append((ASKED, to[lo], 0, body))
         yield _flow(out)
 
-    dealt = rows.mapInArrow(deal, FLOW).repartition(int(tasks), "bucket")
+    def dealt_out(flow, key, *then):
+        return flow.repartition(int(tasks), key).sortWithinPartitions(key, *then)
+
+    dealt = dealt_out(rows.mapInArrow(deal, FLOW), "bucket")
     answered = materialise(dealt.mapInArrow(answer, FLOW), "ngram-answers")
 
     def totals(batches):
@@ -424,53 +449,48 @@ def score_corpus(docs: DataFrame, discount: float = DISCOUNT) -> DataFrame:
     hot_back = np.where(kinds > 0, np.log10(discount * np.maximum(kinds, 1)), 0.0)
 
     def back_off(batches):
-        asked, codes, counts = [], [], []
-        for batch in batches:
-            for kind, slice_, body in zip(*(batch.column(c).to_pylist() for c in ("kind", "slice", "body"))):
+        for _, rows in _by_key(batches, "bucket"):
+            asked, codes, counts = [], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            for kind, _, body in rows:
                 if kind == UNIGRAMS:
                     code, c = _unpack(body, "<u8", "<i8")
                     codes.append(code)
                     counts.append(c)
                 else:
-                    low, high, doc, hot_at = _unpack(body, "<u4", "u1", "<u2", "<u2")
-                    asked.append((slice_, low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32), doc, hot_at))
-        if not asked:
-            return
-        code = np.concatenate(codes) if codes else np.zeros(0, np.uint64)
-        c = np.concatenate(counts) if counts else np.zeros(0, np.int64)
-        order = np.argsort(code)
-        code, c = code[order], c[order]
-        slice_of = np.repeat([a[0] for a in asked], [len(a[1]) for a in asked])
-        want, doc, hot_at = (np.concatenate([a[k] for a in asked]) for k in (1, 2, 3))
-        at = _find(code, want)
-        mass = np.where(at >= 0, c[np.maximum(at, 0)] - discount if len(c) else 1.0, discount * max(n_words, 1))
-        score = np.log10(mass) - np.log10(max(n_tokens, 1)) + hot_back[hot_at]
-        none = np.zeros(len(score))
-        yield _flow([(SUMS, 0, s, body) for s, body in _sums(slice_of, doc.astype(np.int64), none, score, none)])
-
-    unknown = answered.where(F.col("kind").isin(UNIGRAMS, ASKED)).repartition(int(tasks), "bucket")
+                    low, high, doc, hot_at, slices_, lengths = _unpack(body, "<u4", "u1", "<u2", "<u2", "<i8", "<u4")
+                    want = low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)
+                    asked.append((want, doc, hot_at, np.repeat(slices_, lengths)))
+            rows.clear()
+            if not asked:
+                continue
+            code, c = np.concatenate(codes), np.concatenate(counts)
+            order = np.argsort(code)
+            code, c = code[order], c[order]
+            want, doc, hot_at, slice_of = (np.concatenate([a[k] for a in asked]) for k in range(4))
+            at = _find(code, want)
+            mass = np.where(at >= 0, c[np.maximum(at, 0)] - discount if len(c) else 1.0, discount * max(n_words, 1))
+            score = np.log10(mass) - np.log10(max(n_tokens, 1)) + hot_back[hot_at]
+            none = np.zeros(len(score))
+            yield _flow([(SUMS, 0, s, body) for s, body in _sums(slice_of, doc.astype(np.int64), none, score, none)])
+
+    unknown = dealt_out(answered.where(F.col("kind").isin(UNIGRAMS, ASKED)), "bucket")
     more = unknown.mapInArrow(back_off, FLOW)
     less = np.log10(n_tokens + 0.5 * (n_words + 1))
 
     def add_up(batches):
-        docs_of, sums = {}, {}
-        for batch in batches:
-            for kind, slice_, body in zip(*(batch.column(c).to_pylist() for c in ("kind", "slice", "body"))):
-                if kind == ROWS:
-                    docs_of[slice_] = _unpack(body, "<i8", "?", "?", "<i8")
-                    continue
-                doc, base, score, known = _unpack(body, "<u2", "<f8", "<f4", "<u4")
-                total = sums.setdefault(slice_, np.zeros((3, DOCS)))
-                total[0, doc] += base
-                total[1, doc] += score
-                total[2, doc] += known
-        for slice_, (doc_id, none, held, n) in docs_of.items():
-            base, score, known = sums[slice_][:, : len(doc_id)]
+        for _, rows in _by_key(batches, "slice"):
+            doc_id, none, held, n = _unpack(rows[0][2], "<i8", "?", "?", "<i8")  # ROWS sorts before SUMS
+            total = np.zeros((3, len(doc_id)))
+            for _, _, body in rows[1:]:
+                doc, *sums = _unpack(body, "<u2", "<f8", "<f4", "<u4")
+                for k in range(3):
+                    total[k, doc] += sums[k]
+            base, score, known = total
             columns = [pa.array(doc_id, mask=none), pa.array(held), pa.array(n), pa.array(known.astype(np.int64))]
             columns += [pa.array(np.full(len(doc_id), n_tokens, np.int64)), pa.array(base - n * less), pa.array(score)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    parts = answered.where(F.col("kind").isin(ROWS, SUMS)).unionByName(more).repartition("slice")
+    parts = dealt_out(answered.where(F.col("kind").isin(ROWS, SUMS)).unionByName(more), "slice", "kind")
     return parts.mapInArrow(
         add_up, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
