@@ -58,12 +58,12 @@ class EliasFano:
         values = np.asarray(values, np.uint64)
         self.n = len(values)
         top = int(values[-1]) if self.n else 0
-        self.low_bits = max(0, (top // max(self.n, 1)).bit_length() - 1)
+        self.low_bits = min(max(0, (top // max(self.n, 1)).bit_length() - 1), 56)  # with a shift of 7 at most, in 64
         shifts, step, low = np.arange(self.low_bits, dtype=np.uint64), 1 << 15, []
         for at in range(0, self.n, step):  # whole bytes each
             bits = (values[at : at + step, None] >> shifts).astype(np.uint8) & 1
             low.append(np.packbits(bits.reshape(-1), bitorder="little"))
-        self.low = np.concatenate(low) if low else np.zeros(0, np.uint8)
+        self.low = np.concatenate([*low, np.zeros(8, np.uint8)])
         places = (values >> np.uint64(self.low_bits)).astype(np.int64) + np.arange(self.n)
         high = np.zeros((int(places[-1]) // 64 + 1) * 8 if self.n else 8, np.uint8)
         np.bitwise_or.at(high, places >> 3, (1 << (places & 7)).astype(np.uint8))
@@ -87,9 +87,10 @@ class EliasFano:
             place = np.where(up, place + width, place)
             chunk = np.where(up, chunk >> np.uint64(width), chunk)
         upper = (word * 64 + place - at).astype(np.uint64)
-        bit = at[:, None] * self.low_bits + np.arange(self.low_bits)
-        low = ((self.low[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1).astype(np.uint64)
-        return upper << np.uint64(self.low_bits) | (low << np.arange(self.low_bits, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+        bit = at * self.low_bits
+        window = np.ndarray(len(self.low) - 7, "<u8", self.low, strides=(1,))  # eight bytes from any place on
+        low = window[bit >> 3] >> (bit & 7).astype(np.uint64) & np.uint64((1 << self.low_bits) - 1)
+        return upper << np.uint64(self.low_bits) | low
 
     def decode(self) -> np.ndarray:
         """The whole sequence."""
@@ -112,7 +113,7 @@ class Trie:
 
     def __init__(self, parts: dict):
         self.contexts, self.levels = parts["contexts"], parts["levels"]
-        self.quantised, self.n_successors = parts["quantised"], parts["n_successors"]
+        self.quantised = parts["quantised"]
         self.pointers = EliasFano(parts={k[8:]: v for k, v in parts.items() if k.startswith("pointer_")})
         self.successors = EliasFano(parts={k[10:]: v for k, v in parts.items() if k.startswith("successor_")})
 
@@ -123,7 +124,7 @@ class Trie:
         pointers = EliasFano(np.r_[starts, len(codes)]).parts()
         successors = EliasFano(owner << np.uint64(CODE_BITS) | codes).parts()
         levels, quantised = quantise(values, uses)
-        out = {"contexts": contexts, "levels": levels, "quantised": quantised, "n_successors": np.diff(np.r_[starts, len(codes)])}
+        out = {"contexts": contexts, "levels": levels, "quantised": quantised}
         out |= {f"pointer_{k}": v for k, v in pointers.items()}
         return out | {f"successor_{k}": v for k, v in successors.items()}
 
@@ -135,28 +136,24 @@ class Trie:
         """Value of each pair, or nan: by halving the context's own range of successors."""
         at = self.context(contexts)
         known = np.flatnonzero(at >= 0)
-        low, high = self.pointers.get(at[known]).astype(np.int64), self.pointers.get(at[known] + 1).astype(np.int64)
-        want = at[known].astype(np.uint64) << np.uint64(CODE_BITS) | codes[known]
-        end = high.copy()
-        while (low < high).any():
-            middle = (low + high) // 2
-            below = (low < high) & (self.successors.get(np.minimum(middle, self.successors.n - 1)) < want)
-            low, high = np.where(below, middle + 1, low), np.where(below | (low >= high), high, middle)
+        low, end = self.successors_of(at[known])
+        high, want = end.copy(), at[known].astype(np.uint64) << np.uint64(CODE_BITS) | codes[known]
+        open_ = np.flatnonzero(low < high)
+        while len(open_):
+            middle = (low[open_] + high[open_]) // 2
+            below = self.successors.get(middle) < want[open_]
+            low[open_[below]] = middle[below] + 1
+            high[open_[~below]] = middle[~below]
+            open_ = open_[low[open_] < high[open_]]
         hit = low < end
         hit[hit] = self.successors.get(low[hit]) == want[hit]
         out = np.full(len(contexts), np.nan)
         out[known[hit]] = self.levels[self.quantised[low[hit]]]
         return out
 
-    def find_all(self, contexts: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        """The same for many sorted pairs: the successors are decoded once and merged with them."""
-        at = self.context(contexts)
-        want = at.astype(np.uint64) << np.uint64(CODE_BITS) | codes
-        place = _find(self.successors.decode(), want)
-        hit = (at >= 0) & (place >= 0)
-        out = np.full(len(contexts), np.nan)
-        out[hit] = self.levels[self.quantised[place[hit]]]
-        return out
+    def successors_of(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the successors of contexts at these places start and end, by the pointers."""
+        return self.pointers.get(places).astype(np.int64), self.pointers.get(places + 1).astype(np.int64)
 
 
 def _find(sorted_values: np.ndarray, want: np.ndarray) -> np.ndarray:
@@ -395,10 +392,13 @@ def score_corpus(docs: DataFrame, discount: float = DISCOUNT) -> DataFrame:
         edge = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else np.zeros(0, np.int64)
         trie = Trie(mapped(Trie.build(context[first][edge], edge, code[first], values, n2)))
 
-        score = trie.find_all(context, code)
+        pairs = np.flatnonzero(new_pair)
+        score = trie.find(context[pairs], code[pairs])[of_pair]
         unseen = np.isnan(score)
         at = trie.context(names)
-        kinds = np.where(at >= 0, trie.n_successors[np.maximum(at, 0)] if len(trie.contexts) else 0, 0)
+        kinds = np.zeros(len(names), np.int64)
+        start, end = trie.successors_of(at[at >= 0])
+        kinds[at >= 0] = end - start
         with np.errstate(divide="ignore"):
             back = np.where((c > 0) & ~is_hot, np.log10(discount * np.maximum(kinds, 1)) - np.log10(np.maximum(c, 1)), 0)
         score[unseen] = back[of_context[unseen]]

@@ -64,7 +64,7 @@ def test_held_out_documents_score_better_than_by_the_base(spark):
 
 def test_elias_fano_and_trie():
     rng = np.random.default_rng(2)
-    for n, top in ((0, 1), (1, 1), (5, 3), (3000, 2**45), (3000, 100), (70000, 10**6)):
+    for n, top in ((0, 1), (1, 1), (5, 3), (3000, 2**45), (3000, 100), (70000, 10**6), (1, 2**63), (3, 2**63)):
         values = np.sort(rng.integers(0, top, n)).astype(np.uint64)
         coded = ngrams.EliasFano(values)
         assert (coded.decode() == values).all()
@@ -78,10 +78,11 @@ def test_elias_fano_and_trie():
     assert isinstance(parts["contexts"].base, (np.memmap, np.ndarray))
     trie = ngrams.Trie(parts)
     owner = np.repeat(contexts, sizes)
-    for find in (trie.find, trie.find_all):
-        assert find(owner, codes) == pytest.approx(values)
-        assert np.isnan(find(owner, codes + np.uint64(1))).mean() > 0.99
-        assert np.isnan(find(owner + np.uint64(1), codes)).mean() > 0.99
+    assert trie.find(owner, codes) == pytest.approx(values)
+    assert np.isnan(trie.find(owner, codes + np.uint64(1))).mean() > 0.99
+    assert np.isnan(trie.find(owner + np.uint64(1), codes)).mean() > 0.99
+    start, end = trie.successors_of(np.arange(len(contexts)))
+    assert (end - start).tolist() == sizes.tolist()
 
 
 def test_without_training_rows_and_empty(documents):
