@@ -35,8 +35,8 @@ class _Remembered(dict):
 class TextEncoder:
     """Encodes texts like `Tokenizer.from_file(path).encode(text, add_special_tokens=False)`.
 
-    Handles byte-level BPE without a normaliser, and lower-casing BPE that drops white space; the
-    strings of special tokens are ordinary text.
+    Handles byte-level BPE without a normaliser, and lower-casing BPE that drops white space. The
+    vocabulary's added tokens are cut out of the text first, each with its one id, as the library does.
     """
 
     def __init__(self, path: str, remembered: int = GENERATION):
@@ -46,6 +46,11 @@ class TextEncoder:
         spec = json.loads(open(path, encoding="utf-8").read())
         self._model = Tokenizer.from_file(path).model
         self._lowers = spec["normalizer"] is not None
+        if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in spec["added_tokens"]):
+            raise ValueError("added tokens are taken as they stand in the text only")
+        self._added = {t["content"]: array("I", [t["id"]]).tobytes() for t in spec["added_tokens"]}
+        longest_first = sorted(self._added, key=len, reverse=True)
+        self._at_added = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")").split
         split = spec["pre_tokenizer"]
         if self._lowers:
             pattern = split["pretokenizers"][0]["pattern"]["Regex"]
@@ -92,6 +97,13 @@ class TextEncoder:
 
     def encode(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
+        if text and any(token in text for token in self._added):
+            between = self._at_added(text)
+            return b"".join(self._added[cut] if k % 2 else self._plain(cut) for k, cut in enumerate(between))
+        return self._plain(text)
+
+    def _plain(self, text: str | None) -> bytes:
+        """The ids of a text without added tokens."""
         if not text:
             return b""
         if self._lowers:

@@ -17,7 +17,6 @@ def test_pieces_and_sequences(documents, spark):
     real = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
     rows = [*ODD, *((r.doc_id + 100, r.text) for r in real)]
     whole = Tokenizer.from_file(PATH)
-    whole.encode_special_tokens = True
     want, total = [], 0
     for doc_id, text in rows:
         ids = np.array([*whole.encode(text or "", add_special_tokens=False).ids, 1], "<u4")

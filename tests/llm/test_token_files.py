@@ -26,7 +26,6 @@ def test_files_round_trip(documents, spark, monkeypatch):
     path = shared_dir(spark, "test")
     token_files.write_token_files(documents(*ODD), path, PATH, files=3)
     whole = Tokenizer.from_file(PATH)
-    whole.encode_special_tokens = True
     want = {}
     for doc_id, text in ODD:
         ids = np.array([*whole.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
