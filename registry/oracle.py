@@ -54,6 +54,14 @@ def _slices(minutes: int) -> str:
     """
 
 
+_FLATTENED = """
+select longitude, latitude, d.depth, place as location, magnitude, epoch_ms(date_trunc('milliseconds', ts)) as time,
+  cast(tsunami as varchar) as tsunami, event_type as status
+from (select *, unnest([depth, null]) as other_depth from quakes) q,
+  lateral (select q.other_depth as depth) d
+"""
+
+
 _AFTER_CTE: dict[str, str] = {
     "preprocess_quakes": _CLEAN,
     "tsunami_by_significance": """
@@ -176,12 +184,8 @@ _AFTER_CTE: dict[str, str] = {
     select state, count(*) as total_occurrences, avg(magnitude) as average_magnitude
     from quakes where tsunami <> 0 and state is not null group by state
     """,
-    "flatten_geojson": """
-    select longitude, latitude, d.depth, place as location, magnitude, epoch_ms(date_trunc('milliseconds', ts)) as time,
-      cast(tsunami as varchar) as tsunami, event_type as status
-    from (select *, unnest([depth, null]) as other_depth from quakes) q,
-      lateral (select q.other_depth as depth) d
-    """,
+    "flatten_geojson": _FLATTENED,
+    "read_geojson_features": _FLATTENED,
     "replay_slices_15": _slices(15),
     "replay_slices_300": _slices(300),
     "parse_quakes": "select * from messages",
@@ -194,6 +198,9 @@ _AFTER_CTE: dict[str, str] = {
     "stream_count_gt3_compacted": _window(
         60, "count(*) as num_quakes_mag_gt3", "magnitude > 3.0"
     ),
+    "stream_count_gt3_late_merged": _window(
+        60, "count(*) as num_quakes_mag_gt3", "magnitude > 3.0"
+    ),
     "stream_count_gt3_closed": f"""
     select * from ({_window(60, "count(*) as num_quakes_mag_gt3", "magnitude > 3.0")}) w
     where "end" <= (select max(time) from messages) - interval '10 hours'

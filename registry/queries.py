@@ -16,6 +16,7 @@ from temblor.operators import compacted, latest_view, proximity_join
 from temblor.sinks import file_batch_sink, read_changelog, write_snapshot, write_table
 from temblor.sources import (
     flatten_geojson,
+    read_geojson_features,
     read_quakes_csv,
     read_table,
     read_text_stream,
@@ -111,6 +112,26 @@ def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _without_zone(latest_view(read_changelog(spark, out, counts.schema)))
 
 
+def _late_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly counts of a stream with late rows: its windows, merged with the side table."""
+    path, out = shared_dir(spark, "in-order"), shared_dir(spark, "late")
+    tables.write_in_order(spark, sf_dir, path, late=True)
+    parsed = streaming.parse_quakes(read_text_stream(spark, path, files_per_batch=1))
+    delay = tables.part_delay(spark, sf_dir)
+    both = streaming.with_late_rows(parsed, streaming.stream_count_gt3, "60 minutes", delay)
+    streaming.start_changelog(
+        both,
+        streaming.late_rows_sink(out, delay),
+        out.rsplit("/", 1)[1],
+        shared_dir(spark, "stream"),
+        more=streaming.LATE_SETTINGS,
+    ).awaitTermination()
+    merged = streaming.with_late_merged(
+        spark, out, both.schema, streaming.stream_count_gt3, "60 minutes", num_quakes_mag_gt3=F.sum
+    )
+    return _without_zone(merged)
+
+
 def _proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = tables.quakes(spark, sf_dir).select("event_id", "date", "latitude", "longitude")
     return proximity_join(events, events).select("event_id_left", "event_id_right")
@@ -130,8 +151,7 @@ def _in_order(late: bool) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = shared_dir(spark, "in-order")
         tables.write_in_order(spark, sf_dir, path, late)
-        low, high = tables.replay_span(spark, sf_dir)
-        delay = f"{(high - low) // 1000 // tables.PARTS + 3600} seconds"
+        delay = tables.part_delay(spark, sf_dir)
         parsed = streaming.parse_quakes(read_text_stream(spark, path, files_per_batch=1))
         return streaming.stream_count_gt3(parsed, delay=delay)
 
@@ -164,6 +184,13 @@ def _flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_geojson(tables.documents(spark, sf_dir))
 
 
+def _flattened_from_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents as text files that are cut where a feature opens."""
+    path = shared_dir(spark, "geojson")
+    tables.documents(spark, sf_dir).write.text(path)
+    return read_geojson_features(spark, path)
+
+
 def _sql_over_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SQL text over a catalog table; a closing semicolon is accepted."""
     path = shared_dir(spark, "table")
@@ -236,6 +263,7 @@ QUERIES: dict[str, Query] = {
     "read_table": _table_roundtrip,
     "sql_over_table": _sql_over_table,
     "flatten_geojson": _flattened,
+    "read_geojson_features": _flattened_from_pieces,
     "replay_slices_15": _sliced(15),
     "replay_slices_300": _sliced(300),
     "parse_quakes": lambda spark, sf_dir: _without_zone(
@@ -258,6 +286,7 @@ QUERIES: dict[str, Query] = {
     "stream_location_join": _stream(_joined_streams, latest=False, mode="append"),
     "stream_location_join_unbounded": _joined_without_bound,
     "stream_count_gt3_compacted": _compacted,
+    "stream_count_gt3_late_merged": _late_merged,
 }
 
 

@@ -99,6 +99,12 @@ def replay_span(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
     return (0, 0) if row[0] is None else (row[0], row[1])
 
 
+def part_delay(spark: SparkSession, sf_dir: str) -> str:
+    """A watermark delay of one of the spans that `write_in_order` cuts, and an hour."""
+    low, high = replay_span(spark, sf_dir)
+    return f"{(high - low) // 1000 // PARTS + 3600} seconds"
+
+
 def write_in_order(spark: SparkSession, sf_dir: str, path: str, late: bool) -> None:
     """All messages as text files in order of time: one write for each of PARTS equal spans.
 

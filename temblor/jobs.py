@@ -33,6 +33,7 @@ from temblor.sinks.stream import BatchSink
 from temblor.sources import (
     flatten_geojson,
     read_geojson,
+    read_geojson_features,
     read_quake_stream,
     read_quakes_csv,
     read_table,
@@ -208,7 +209,10 @@ def main(argv: list[str] | None = None) -> None:
         compact(spark, args.changelog.rstrip("/"), tuple(args.keys or ()), args.upto, args.forget)
         return
     if args.program == "publish":
-        messages = flatten_geojson(read_geojson(spark, args.geojson, args.one_per_file))
+        if args.cut:
+            messages = read_geojson_features(spark, args.geojson)
+        else:
+            messages = flatten_geojson(read_geojson(spark, args.geojson, args.one_per_file))
         if args.output:
             if not args.in_order:
                 publish(messages, args.slice_minutes, lambda df: write_slices(df, args.output))
@@ -299,6 +303,7 @@ def _arguments() -> argparse.ArgumentParser:
     publisher = programs.add_parser("publish", help="flatten GeoJSON and publish it in time slices")
     publisher.add_argument("--geojson", required=True)
     publisher.add_argument("--one-per-file", action="store_true", help="else one document a line")
+    publisher.add_argument("--cut", action="store_true", help="cut large documents where features open")
     publisher.add_argument("--slice-minutes", type=int, default=15)
     publisher.add_argument(
         "--in-order", action="store_true", help="a folder per day, released one after the other"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,13 +19,15 @@ def start_changelog(
     mode: str = "update",
     every: str | None = None,
     state_partitions: int | None = None,
+    more: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Feed `df` to `sink`, batch by batch.
 
     With `every` (e.g. '60 seconds') the query runs on; without, it takes what is there and
     stops. `checkpoint` must be on shared storage and belong to this query alone. State is split
     into `state_partitions` parts, by default the session's shuffle partitions; the number holds
-    for the life of the checkpoint, so choose it for the largest state expected.
+    for the life of the checkpoint, so choose it for the largest state expected. `more` are further
+    settings of this query.
     """
     writer = (
         df.writeStream.queryName(name)
@@ -32,7 +36,7 @@ def start_changelog(
         .foreachBatch(sink)
     )
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    settings = dict(STREAM_DEFAULTS)
+    settings = {**STREAM_DEFAULTS, **(more or {})}
     if state_partitions:
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)
     if not every and mode == "update":

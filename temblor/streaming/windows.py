@@ -56,7 +56,7 @@ def stream_all(df: DataFrame) -> DataFrame:
 def _tumbling(
     df: DataFrame, condition: Column | None, window: str, delay: str | None, **aggregate: Column
 ) -> DataFrame:
-    """The watermark is set before filtering: rows that are filtered out still advance it."""
+    """Spark moves the condition below the watermark: only rows that meet it advance it."""
     timed = df.withWatermark("time", delay) if delay else df
     kept = timed if condition is None else timed.where(condition)
     return (

@@ -21,6 +21,7 @@ from temblor.sinks.batch import json_values
 from temblor.sources import (
     flatten_geojson,
     read_geojson,
+    read_geojson_features,
     read_quake_stream,
     read_quakes_csv,
     read_table,
@@ -111,6 +112,47 @@ def test_geojson_is_flattened(spark, folder):
     assert flatten_geojson(read_geojson(spark, whole, one_per_file=True)).count() == 3
 
 
+def _collection(n: int) -> dict:
+    places = ["plain", 'a "quoted" {"type":"Feature", one', "]}\n{", "Zürich"]
+    return {
+        "type": "FeatureCollection",
+        "metadata": {"count": n},
+        "features": [
+            {"type": "Feature"} | _feature([k / 8, 2.0, None], place=places[k % 4], mag=k % 9 / 8, time=k, tsunami=0, status="x")
+            for k in range(n)
+        ],
+        "bbox": [0, 1],
+    }
+
+
+@pytest.mark.parametrize("blanks", [(",", ":"), (", ", ": ")])
+def test_one_large_document_is_read_by_many_tasks(spark, folder, blanks):
+    path = _put(folder, "large.json", json.dumps(_collection(20_000), separators=blanks))
+    opening = json.dumps({"type": "Feature"}, separators=blanks)[:-1] + blanks[0].rstrip()
+    with session_conf(spark, {"spark.sql.files.maxPartitionBytes": "256k"}):
+        cut = read_geojson_features(spark, path, opening)
+        assert cut.rdd.getNumPartitions() >= 8
+        busy = cut.groupBy(F.spark_partition_id().alias("task")).count()
+        assert busy.count() >= 8 and busy.agg(F.max("count")).first()[0] < 5_000
+        whole = flatten_geojson(read_geojson(spark, path, one_per_file=True))
+        assert cut.columns == whole.columns
+        assert cut.exceptAll(whole).count() == whole.exceptAll(cut).count() == 0 and cut.count() == 20_000
+
+
+def test_documents_that_break_off_or_open_differently(spark, folder):
+    text = json.dumps(_collection(6), separators=(",", ":"))
+    last = text.rindex('{"type":"Feature",')
+    cases = {
+        "whole": (text, 6), "twice": (text + "\n" + text, 12), "mark": ("\ufeff" + text, 6),
+        "indented": (json.dumps(_collection(6), indent=1), 6), "empty": ("", 0), "none": ('{"features":[]}', 0),
+        "in the head": (text[:30], 0), "in a text": (text[: last + 60], 5), "unclosed": (text[: text.rindex("}],")], 5),
+        "at an opening": (text[: last + 18], 5), "within an opening": (text[: last + 9], 5),
+    }
+    for name, (content, n) in cases.items():
+        path = _put(shared_dir(spark, "test"), "doc.json", content)
+        assert (name, read_geojson_features(spark, path).count()) == (name, n)
+
+
 def test_replay_slices_are_half_open_and_written_as_messages(spark, quakes, folder):
     df = quakes(
         dict(place="a", date="2018-01-21 00:00:00"),
