@@ -26,6 +26,8 @@ from temblor.llm.tokens import encoder
 FILE_SCHEMA = "file int, block long, doc_ids array<long>, lengths array<long>, control binary, data binary"
 BLOCK_TOKENS = 1 << 17
 FILE_TEXT_BYTES = 16 << 20
+# Rank tables go to every executor up to this size together; beyond it they are joined by a shuffle.
+RANK_TABLE_BYTES = 64 << 20
 
 # For each control byte: the lengths of its four ranks.
 _LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
@@ -119,7 +121,10 @@ def read_token_files(spark, path: str) -> DataFrame:
 
 def _read(spark, path: str, schema: str, whole: bool) -> DataFrame:
     stored = spark.read.schema(FILE_SCHEMA).parquet(path)
-    tables = small(stored.where("block < 0").select("file", F.col("data").alias("ids_by_rank")), 4096)
+    tables = stored.where("block < 0").select("file", F.col("data").alias("ids_by_rank"))
+    size = tables.agg(F.sum(F.octet_length("ids_by_rank"))).first()[0] or 0
+    # Files and blocks spread over all tasks, so a merge join has no hot key: a file has a bounded text.
+    tables = F.broadcast(tables) if size <= RANK_TABLE_BYTES else tables.hint("merge")
     blocks = stored.where("block >= 0").join(tables, "file")
 
     def decode(batches):

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 from temblor.config import shared_dir
@@ -21,7 +22,9 @@ def test_ranks_round_trip():
             assert (token_files.decode_ranks(control, data, n) == ranks).all()
 
 
-def test_files_round_trip(documents, spark, monkeypatch):
+@pytest.mark.parametrize("limit", [0, 64 << 20])
+def test_files_round_trip(documents, spark, monkeypatch, limit):
+    monkeypatch.setattr(token_files, "RANK_TABLE_BYTES", limit)
     monkeypatch.setattr(token_files, "BLOCK_TOKENS", 50)
     path = shared_dir(spark, "test")
     token_files.write_token_files(documents(*ODD), path, PATH, files=3)
