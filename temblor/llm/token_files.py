@@ -81,25 +81,32 @@ def write_token_files(
         if not doc_ids:
             return
         counts = np.zeros(1 + max(int(x.max()) for x in texts), np.int64)
-        for x in texts:
-            counts += np.bincount(x, minlength=len(counts))
+        blocks = list(_blocks(lengths))
+        for at, to in blocks:
+            counts += np.bincount(np.concatenate(texts[at:to]), minlength=len(counts))
         ids = np.argsort(-counts, kind="stable")[: int((counts > 0).sum())]
         rank = np.zeros(len(counts), np.uint32)
         rank[ids] = np.arange(len(ids), dtype=np.uint32)
         yield _rows(part, -1, [], [], b"", ids.astype("<u4").tobytes())
-        at = block = 0
-        while at < len(texts):
-            to, have = at, 0
-            while to < len(texts) and (to == at or have + lengths[to] <= BLOCK_TOKENS):
-                have += lengths[to]
-                to += 1
+        for block, (at, to) in enumerate(blocks):
             control, data = encode_ranks(rank[np.concatenate(texts[at:to])])
             yield _rows(part, block, doc_ids[at:to], lengths[at:to], control, data)
-            at, block = to, block + 1
 
     dealt.mapInArrow(encode, FILE_SCHEMA).write.parquet(path)
 
 
+def _blocks(lengths: list[int]):
+    """Documents from `at` up to `to` of each block: BLOCK_TOKENS at most, or a single longer one."""
+    at = 0
+    while at < len(lengths):
+        to, have = at, 0
+        while to < len(lengths) and (to == at or have + lengths[to] <= BLOCK_TOKENS):
+            have += lengths[to]
+            to += 1
+        yield at, to
+        at = to
+
+
 def _rows(part, block, doc_ids, lengths, control, data) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
