@@ -80,10 +80,11 @@ class TextEncoder:
             if piece[:-1].isalpha() and piece[-1] in ".,;:!?":
                 return self._words[piece[:-1]] + self._words[piece[-1]]
             return self._join(self._cut(piece))
+        # A piece that is a word is remembered as such only, not as a word as well.
         if piece.isalpha():
-            return self._words[" " + piece]
+            return self._encode_word(" " + piece)
         if piece[:-1].isalpha() and piece[-1] in ".,;:!?":
-            return self._words[" " + piece[:-1]] + self._words[piece[-1]]
+            return self._pieces[piece[:-1]] + self._words[piece[-1]]
         return self._join(self._cut(" " + piece))
 
     def _join(self, words: list[str]) -> bytes:
