@@ -250,6 +250,29 @@ def test_foreshocks_all_and_largest(quakes):
     ]
 
 
+
+def test_pairs_equal_but_for_position_come_once_and_are_not_shuffled(quakes):
+    """Copies that differ in position alone give one row; the pairs are not gathered by a distinct."""
+    df = quakes(
+        _near("2019-01-05 05:00:00", "main", 8.0, latitude=10.0),
+        _near("2019-01-05 05:00:00", "main", 8.0, latitude=10.05),
+        _near("2019-01-05 05:00:00", "far", 8.5, latitude=10.0),
+        _near("2019-01-05 05:00:00", "far", 8.5, latitude=20.3),
+        _near("2019-01-05 04:00:00", "x", 6.0, latitude=10.0),
+        _near("2019-01-05 04:00:00", "x", 6.0, latitude=10.02),
+        _near("2019-01-05 04:30:00", "y", 6.0, latitude=20.35),
+    )
+    shocks = plans.foreshock_pairs(df)
+    assert rows(shocks.select("place_main", "place_foreshock")) == [
+        ("far", "x"), ("far", "y"), ("main", "x")
+    ]
+    pairs = plans.event_pairs(df, datetime(2019, 1, 1), datetime(2019, 2, 1), seconds=3600)
+    assert rows(pairs.select("place1", "place2")) == [
+        ("x", "far"), ("x", "main"), ("y", "far")
+    ]
+    for df in (shocks, pairs):
+        assert df._jdf.queryExecution().optimizedPlan().nodeName() != "Aggregate"
+
 def test_main_events_of_one_date_magnitude_and_place_share_their_largest(quakes):
     df = quakes(
         _near("2019-01-05 00:00:00", "main", 8.0),
